@@ -8,9 +8,12 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables, read through Spark so that any store works."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
