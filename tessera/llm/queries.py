@@ -56,13 +56,59 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.near_dedup import Rule, near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=3, percent=85))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": chat_formatting,
     "op3_exact_top_k": exact_top_k,
     "op4_warc": warc,
     "op5_fingerprints": fingerprints,
+    "op6_near_dedup": near_dedup,
     "op7_packing": packing,
     "op10_sentencepiece": sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _components_sql(percent: int, words: int) -> str:
+    """Component of every document, for links by shared shingles: doc_id, n_shingles, component_id."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    run = ", ".join(f"w[i + {k}]" for k in range(words))
+    return f"""
+words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - {words - 2}), lambda i: concat_ws(' ', {run})) END) AS s
+    FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * shared >= {percent} * (p.n + q.n - shared)),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other),
+component AS (
+    SELECT d.doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(other) AS component_id
+    FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id)"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_exact_top_k": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+scores AS (
+    SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op6_near_dedup": f"""
+WITH RECURSIVE {_components_sql(85, 3)}
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM component""",
+}
