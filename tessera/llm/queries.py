@@ -62,7 +62,17 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=3, percent=85))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tessera.llm.suffix_dedup import repeated_spans
+
+    spans = repeated_spans(table(spark, sf_dir, "documents"))
+    return spans.select(F.col("id").alias("doc_id"), "start", "end", F.col("like").alias("like_doc_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": suffix_dedup,
     "op2_chat_formatting": chat_formatting,
     "op3_exact_top_k": exact_top_k,
     "op4_warc": warc,
