@@ -71,6 +71,13 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select(F.col("id").alias("doc_id"), "start", "end", F.col("like").alias("like_doc_id"))
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality import fit, scored
+
+    documents = table(spark, sf_dir, "documents")
+    return scored(documents, fit(documents, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_chat_formatting": chat_formatting,
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_fingerprints": fingerprints,
     "op6_near_dedup": near_dedup,
     "op7_packing": packing,
+    "op9_quality": quality,
     "op10_sentencepiece": sentencepiece,
 }
 
