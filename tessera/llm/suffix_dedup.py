@@ -218,7 +218,7 @@ def cut_repeats(documents: DataFrame, spans: DataFrame, key: str = "doc_id", tex
     Columns and rows stay as they are, but for the text (and n_chars, if there is one) of cut documents; a
     document of which no word is left is dropped.
     """
-    each = spans.groupBy("id").agg(F.first("name").alias("span_name"), F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    each = spans.groupBy("id").agg(F.first("name").alias("__name"), F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans"))
     order = documents.columns
 
     def cut(names: pa.ChunkedArray, spans_: list, texts: list) -> list:
@@ -242,14 +242,14 @@ def cut_repeats(documents: DataFrame, spans: DataFrame, key: str = "doc_id", tex
             out.append(whole or None)
         return out
 
-    rows = documents.join(each.withColumnRenamed("id", "span_id"), F.col(key).cast("bigint") == F.col("span_id"), "left")
+    rows = documents.join(each.withColumnRenamed("id", "__id"), documents[key].cast("bigint") == F.col("__id"), "left")
     fields = documents.schema
     count = next((f.name for f in fields if f.name == "n_chars"), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, spans_ = batch.column(text).to_pylist(), batch.column("spans").to_pylist()
-            new = cut(batch.column("span_name").to_pylist(), spans_, texts)
+            texts, spans_ = batch.column(text).to_pylist(), batch.column("__spans").to_pylist()
+            new = cut(batch.column("__name").to_pylist(), spans_, texts)
             keep = [not s or t is not None or o is None for t, s, o in zip(new, spans_, texts, strict=True)]
             changed = [t != o for t, o in zip(new, texts, strict=True)]
             columns = []
