@@ -78,6 +78,12 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(documents, fit(documents, table(spark, sf_dir, "labels")))
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup,
     "op2_chat_formatting": chat_formatting,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_fingerprints": fingerprints,
     "op6_near_dedup": near_dedup,
     "op7_packing": packing,
+    "op8_html_extraction": html_extraction,
     "op9_quality": quality,
     "op10_sentencepiece": sentencepiece,
 }
