@@ -26,7 +26,7 @@ from tessera.llm.shared import own_columns, stored
 from tessera.llm.text import chunks, mix
 
 REGISTERS, RATE = 128, 20.0
-LOG_BASE = float(np.log(1.2))
+LOG_BASE = float(np.log(1.001))
 ROWS = 4
 SIGMAS = 6.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -37,7 +37,7 @@ _SPACED = np.append(-np.log1p(-_STEPS / REGISTERS), np.inf)
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
-    """Register values of a set of distinct 64-bit hashes, one byte each."""
+    """Register values of a set of distinct 64-bit hashes, two bytes each."""
     low = np.full(REGISTERS, np.inf)
     start, step = (hashes % np.uint64(REGISTERS)).astype(np.int64), (hashes >> np.uint64(8)).astype(np.int64) | 1
     if 0 < len(hashes) <= 64:
@@ -51,7 +51,7 @@ def registers(hashes: np.ndarray) -> np.ndarray:
             u = (mix(hashes + _SALTS[j]) >> np.uint64(11)) * 2.0**-53
             np.minimum.at(low, (start + j * step) % REGISTERS, _SPACED[j] - np.log1p(-u / (REGISTERS - j)))
     with np.errstate(divide="ignore"):
-        return np.clip(np.floor(1 - (np.log(low) - np.log(RATE)) / LOG_BASE), 0, 255).astype(np.uint8)
+        return np.clip(np.floor(1 - (np.log(low) - np.log(RATE)) / LOG_BASE), 0, 65535).astype("<u2")
 
 
 def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -124,7 +124,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ra, rb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 4))
+            ra, rb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, REGISTERS) for k in (2, 4))
             na, nb = (batch.column(k).to_numpy().astype(float) for k in (3, 5))
             yield batch.select([0, 1]).filter(pa.array(estimate(ra, rb, na, nb) >= rule.floor))
 
@@ -189,7 +189,7 @@ def near_duplicates(documents: DataFrame, rule: Rule | None = None, key: str = "
     classes = stored(rows.where(usable).groupBy("name", "n", "registers").agg(F.min("id").alias("node")))
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)),
-        lambda k: F.xxhash64(F.substring(F.col("registers"), k * ROWS + 1, F.lit(ROWS)), k),
+        lambda k: F.xxhash64(F.substring(F.col("registers"), k * (2 * ROWS) + 1, F.lit(2 * ROWS)), k),
     )
     entries = classes.select("node", F.explode(bands).alias("band"))
     shared = entries.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last")
@@ -199,18 +199,18 @@ def near_duplicates(documents: DataFrame, rule: Rule | None = None, key: str = "
     pairs = stored(_likely(entries.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), classes, rule))
     sets = stored(_members(pairs, classes, documents, key, text, rule))
     links = stored(_linked(pairs, sets, rule))
+    found = stored(components(links))
     seen, done = 1, 8
-    while True:
-        found = components(links)
-        rest = _unsettled(entries, found, seen)
-        if rest is None:
-            break
+    while (rest := _unsettled(entries, found, seen)) is not None:
         pairs = stored(_likely(_across(rest, seen, seen + done), classes, rule))
         fresh = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node", "left_anti")
         if not fresh.isEmpty():
             new = fresh.select(F.col("node").alias("a"), F.col("node").alias("b"))
             sets = stored(sets.unionByName(_members(new, classes, documents, key, text, rule)))
-        links = stored(links.unionByName(_linked(pairs, sets, rule)))
+        links = stored(_linked(pairs, sets, rule))
+        if not links.isEmpty():
+            known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+            found = stored(components(links.unionByName(known)))
         seen, done = seen + done, 8 * done
 
     named = classes.join(found, "node", "left").select("name", F.coalesce("component", "node").alias("component"))
