@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,3 +24,16 @@ def ship(spark: SparkSession) -> None:
             z.write(path, path.relative_to(root.parent))
     context.addPyFile(str(target))
     _shipped.add(context.applicationId)
+
+
+def shared_place(spark: SparkSession) -> str:
+    """A new path under ``spark.checkpoint.dir``; where that is unset, in this machine's temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
+    return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written where all executors see it, and read back: computed once, lineage cut."""
+    at = shared_place(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
