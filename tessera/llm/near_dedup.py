@@ -2,23 +2,24 @@
 
 A document's set of word shingles is reduced to registers: exponentially spaced truncated minima, so that
 the sketch of a union is the register-wise maximum and two registers are equal about as often as the sets
-are alike. Bands of registers name candidates, the joint likelihood of a pair's registers drops the
-hopeless ones, and the full sets confirm every link.
+are alike. Bands of registers name buckets of candidates; where a bucket holds one pair, the joint
+likelihood of its registers drops it if hopeless. The full sets confirm every link.
 
-Copies (equal sets) are one class throughout. A bucket of classes first meets its smallest one; only
-buckets that then still span several components meet further ones, in rounds that grow until every
-pair across components has been looked at. So no bucket is cut off and none is expanded into all its pairs
-unless its classes really are unlike each other.
+Copies (equal sets) are one class throughout. Classes that share buckets, directly or through others,
+form clusters, and all links lie within clusters. A cluster is dealt by hash over blocks of bounded size;
+blocks are compared in themselves and in pairs, by bit sets over the shingles that can be shared at all,
+and only links that unite something leave a task. So no bucket is cut off, and no pairs are written out.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.graph import components
@@ -29,6 +30,7 @@ REGISTERS, RATE = 128, 20.0
 LOG_BASE = float(np.log(1.001))
 ROWS = 4
 SIGMAS = 6.0
+BLOCK_SHINGLES = 400_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(REGISTERS)
 _SALTS = (_STEPS + 1).astype(np.uint64) * _GOLD
@@ -134,44 +136,127 @@ def _likely(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return both.select("a", "b", "ra", "na", "rb", "nb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _members(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
-    """Full sets of the classes in ``pairs``, made from a text of each: node, n, hashes."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "name"), "node")
-    rows = documents.select(F.col(key).cast("bigint").alias("node"), text).join(nodes, "node").select("node", "name", text)
+def _members(clusters: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
+    """Full sets of the classes in ``clusters`` (node, cluster), made from a text of each: node, cluster, hashes."""
+    nodes = clusters.join(classes.select("node", "name"), "node")
+    rows = documents.select(F.col(key).cast("bigint").alias("node"), text).join(nodes, "node").select("node", "cluster", "name", text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, at = batch.column(1).to_pylist(), 0
-            for lo, hi, found in chunks(batch.column(2)):
+            names = batch.column(2).to_pylist()
+            for lo, hi, found in chunks(batch.column(3)):
                 sets = [np.unique(s) for s in found.shingles(rule.words)]
                 right = [i for i, s in enumerate(sets) if len(s) and _named(s) == names[lo + i]]
-                columns = [
-                    pa.array([batch.column(0)[lo + i].as_py() for i in right], pa.int64()),
-                    pa.array([sets[i].tobytes() for i in right], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "hashes"])
-
-    # Rows that share an id may share the text; one of them is enough.
-    return rows.mapInArrow(run, "node bigint, hashes binary").dropDuplicates(["node"])
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs confirmed on their full sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = np.sort(np.concatenate([a, b]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= rule.percent * (len(a) + len(b) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb")
-    return both.mapInArrow(run, "a bigint, b bigint")
+                part = batch.slice(lo, hi - lo).select([0, 1]).take(pa.array(right, pa.int64()))
+                hashes = pa.array([sets[i].tobytes() for i in right], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, hashes], names=["node", "cluster", "hashes"])
+
+    return rows.mapInArrow(run, "node bigint, cluster bigint, hashes binary")
+
+
+@dataclass
+class Block:
+    """Some sets of a cluster: their nodes and sizes, bits over the hashes that several of them hold, and the hashes that one holds."""
+
+    nodes: np.ndarray
+    sizes: np.ndarray
+    common: np.ndarray
+    bits: np.ndarray  # (sets, common) of bool, packed along the hashes
+    single: np.ndarray
+    owner: np.ndarray
+
+    @classmethod
+    def of(cls, nodes: list[int], sets: list[np.ndarray]) -> Block:
+        sizes = np.array([len(s) for s in sets], np.int64)
+        hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(hashes, kind="stable")
+        hashes, owner = hashes[order], owner[order]
+        common, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+        several = counts > 1
+        place = np.cumsum(several) - 1
+        bits = np.zeros((len(sets), int(several.sum())), bool)
+        met = several[inverse]
+        bits[owner[met], place[inverse[met]]] = True
+        return cls(np.array(nodes, np.int64), sizes, common[several], np.packbits(bits, axis=1), hashes[~met], owner[~met])
+
+    def over(self, hashes: np.ndarray) -> np.ndarray:
+        """Packed bits of every set over ``hashes``."""
+        out = np.zeros((len(self.nodes), len(hashes)), bool)
+        if len(self.common) and len(hashes):
+            at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
+            met = self.common[at] == hashes
+            out[:, met] = np.unpackbits(self.bits, axis=1, count=len(self.common))[:, at[met]]
+        if len(self.single) and len(hashes):
+            at = np.minimum(np.searchsorted(hashes, self.single), len(hashes) - 1)
+            met = hashes[at] == self.single
+            out[self.owner[met], at[met]] = True
+        return np.packbits(out, axis=1)
+
+    def hashes(self) -> np.ndarray:
+        return np.concatenate([self.common, self.single])
+
+
+def _words(packed: np.ndarray) -> np.ndarray:
+    """Packed bits in 64-bit words."""
+    wide = np.zeros((packed.shape[0], -(-packed.shape[1] // 8) * 8), np.uint8)
+    wide[:, : packed.shape[1]] = packed
+    return wide.view(np.uint64)
+
+
+def _uniting(rows: Block, columns: Block, a: np.ndarray, b: np.ndarray, rule: Rule, same: bool) -> list[tuple[int, int]]:
+    """Links between two blocks' sets, or within one, that unite components; ``a`` and ``b`` are their bits over the same hashes."""
+    n = len(rows.nodes)
+    labels = np.arange(n if same else n + len(columns.nodes))
+    shift, out = 0 if same else n, []
+    a, b = _words(a), _words(b)
+    for i in range(n):
+        lo = i + 1 if same else 0
+        if lo >= len(columns.nodes):
+            break
+        shared = np.bitwise_count(b[lo:] & a[i]).sum(axis=1, dtype=np.int64)
+        hit = 100 * shared >= rule.percent * (rows.sizes[i] + columns.sizes[lo:] - shared)
+        hit &= labels[shift + lo :] != labels[i]
+        for j in np.flatnonzero(hit):
+            mine, other = labels[i], labels[shift + lo + j]
+            if mine != other:
+                labels[labels == other] = mine
+                out.append((int(rows.nodes[i]), int(columns.nodes[lo + j])))
+    return out
+
+
+def _links(members: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) whose components are those of all confirmed links of each cluster."""
+    load = F.octet_length("hashes") / 8
+    sizes = members.groupBy("cluster").agg(F.ceil(F.sum(load) / BLOCK_SHINGLES).alias("blocks"))
+    dealt = members.join(stored(sizes), "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    schema = "cluster bigint, block bigint, blocks bigint, a bigint, b bigint, packed binary"
+    fields = pa.schema([(n, pa.int64()) for n in ("cluster", "block", "blocks", "a", "b")] + [("packed", pa.binary())])
+
+    def rows(cluster: int, block: int, blocks: int, found: list[tuple[int, int]], packed: bytes | None) -> pa.Table:
+        out = [(cluster, block, blocks, a, b, None) for a, b in found] + [(cluster, block, blocks, None, None, packed)] * (packed is not None)
+        return pa.table(list(map(list, zip(*out, strict=True))) or [[]] * 6, schema=fields)
+
+    def inside(table: pa.Table) -> pa.Table:
+        sets = {n: np.frombuffer(h.as_buffer(), "<u8") for n, h in zip(table.column("node").to_pylist(), table.column("hashes"), strict=True)}
+        cluster, block, blocks = (table.column(c)[0].as_py() for c in ("cluster", "block", "blocks"))
+        nodes = sorted(sets)
+        one = Block.of(nodes, [sets[n] for n in nodes])
+        return rows(cluster, block, blocks, _uniting(one, one, one.bits, one.bits, rule, True), pickle.dumps(one) if blocks > 1 else None)
+
+    def between(table: pa.Table) -> pa.Table:
+        x, y = (pickle.loads(p) for p in sorted(table.column("packed").to_pylist()))
+        hashes = np.intersect1d(x.hashes(), y.hashes(), assume_unique=True)
+        found = _uniting(x, y, x.over(hashes), y.over(hashes), rule, False)
+        return rows(table.column("cluster")[0].as_py(), 0, 0, found, None)
+
+    first = stored(dealt.select("cluster", "block", "blocks", "node", "hashes").groupBy("cluster", "block").applyInArrow(inside, schema))
+    partner = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    pairs = first.where("packed is not null").select("cluster", "block", "packed", partner).where("block <> other")
+    pairs = pairs.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "packed")
+    # A block that no node fell into has no partner row.
+    whole = pairs.groupBy("cluster", "lo", "hi").agg(F.count("*").alias("n")).where("n = 2").select("cluster", "lo", "hi")
+    second = pairs.join(whole, ["cluster", "lo", "hi"]).groupBy("cluster", "lo", "hi").applyInArrow(between, schema)
+    return first.where("a is not null").select("a", "b").unionByName(second.select("a", "b"))
 
 
 def near_duplicates(documents: DataFrame, rule: Rule | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -192,26 +277,14 @@ def near_duplicates(documents: DataFrame, rule: Rule | None = None, key: str = "
         lambda k: F.xxhash64(F.substring(F.col("registers"), k * (2 * ROWS) + 1, F.lit(2 * ROWS)), k),
     )
     entries = classes.select("node", F.explode(bands).alias("band"))
-    shared = entries.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last")
-    shared = stored(shared.select("band", "hub"))
-    entries = stored(entries.join(shared, "band"))
-
-    pairs = stored(_likely(entries.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), classes, rule))
-    sets = stored(_members(pairs, classes, documents, key, text, rule))
-    links = stored(_linked(pairs, sets, rule))
-    found = stored(components(links))
-    seen, done = 1, 8
-    while (rest := _unsettled(entries, found, seen)) is not None:
-        pairs = stored(_likely(_across(rest, seen, seen + done), classes, rule))
-        fresh = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node", "left_anti")
-        if not fresh.isEmpty():
-            new = fresh.select(F.col("node").alias("a"), F.col("node").alias("b"))
-            sets = stored(sets.unionByName(_members(new, classes, documents, key, text, rule)))
-        links = stored(_linked(pairs, sets, rule))
-        if not links.isEmpty():
-            known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
-            found = stored(components(links.unionByName(known)))
-        seen, done = seen + done, 8 * done
+    shared = entries.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("size"))
+    shared = stored(shared.where("size > 1"))
+    # The one pair of a small bucket may be dropped; in a larger one, classes unlike the smallest may be like each other.
+    pairs = stored(_likely(shared.where("size = 2 and hub <> last").select(F.col("hub").alias("a"), F.col("last").alias("b")).distinct(), classes, rule))
+    more = entries.join(shared.where("size > 2").select("band", "hub"), "band").where("node <> hub")
+    pairs = pairs.unionByName(more.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    clusters = stored(components(pairs).select("node", F.col("component").alias("cluster")))
+    found = components(_links(stored(_members(clusters, classes, documents, key, text, rule)), rule))
 
     named = classes.join(found, "node", "left").select("name", F.coalesce("component", "node").alias("component"))
     named = stored(named)
@@ -223,22 +296,3 @@ def near_duplicates(documents: DataFrame, rule: Rule | None = None, key: str = "
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
-
-
-def _unsettled(entries: DataFrame, found: DataFrame, seen: int) -> DataFrame | None:
-    """Members, in order, of buckets with several components and more members than were compared with all others."""
-    rows = entries.select("band", "node").join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    rows = stored(rows)
-    split = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    split = stored(split.where((F.col("low") != F.col("high")) & (F.col("size") > seen + 1)).select("band"))
-    if split.isEmpty():
-        return None
-    order = Window.partitionBy("band").orderBy("node")
-    return stored(rows.join(split, "band").withColumn("at", F.row_number().over(order)))
-
-
-def _across(rest: DataFrame, seen: int, until: int) -> DataFrame:
-    """Pairs across components of each bucket's members number ``seen`` + 1 to ``until`` with those after them."""
-    hubs = rest.where((F.col("at") > seen) & (F.col("at") <= until))
-    hubs = hubs.select("band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("at").alias("aa"))
-    return rest.join(hubs, "band").where("at > aa and component <> ca").select("a", F.col("node").alias("b")).distinct()
