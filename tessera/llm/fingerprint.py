@@ -120,8 +120,12 @@ def edited_likeness(documents: DataFrame, key: str = "doc_id", text: str = "text
     rows = rows.withColumn("next_sketch", F.lead("sketch").over(near))
     rows = rows.join(heads, "range")
     last = F.col("next").isNull()
-    rows = rows.withColumn("next", F.when(last, F.col("head")).otherwise(F.col("next")))
-    rows = rows.withColumn("next_sketch", F.when(last, F.col("head_sketch")).otherwise(F.col("next_sketch")))
+    rows = rows.withColumns(
+        {
+            "next": F.when(last, F.col("head")).otherwise(F.col("next")),
+            "next_sketch": F.when(last, F.col("head_sketch")).otherwise(F.col("next_sketch")),
+        }
+    )
     rows = rows.withColumn("n_chars", F.length("own").cast("bigint"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("own", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next", F.lit(1), cut))
