@@ -123,7 +123,33 @@ component AS (
     FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id)"""
 
 
+def _escaped_length(x: str) -> str:
+    """Length of a text after the chat template's escapes: one more for each backslash and control string."""
+    controls = ["\\", "<|", "<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[PAD]", "[SEP]", "[CLS]"]
+    more = " + ".join(f"(length({x}) - length(replace({x}, '{c}', ''))) // {len(c)}" for c in controls)
+    return f"(length({x}) + {more})"
+
+
+#: 40 hex digits as 32 letters of base32: five digits are four letters.
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(sha, (5 * (i // 4) + 1)::BIGINT, 5))::BIGINT >> (5 * (3 - i % 4))::BIGINT) & 31) + 1)::BIGINT, 1)), '')"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+chats AS (
+    SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+        coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+        sum({_escaped_length('role')} + {_escaped_length('text')} + 23)::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM chats""",
+    "op4_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS sha FROM pages),
+f AS (SELECT sha, min(page_id) AS first FROM p GROUP BY sha)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to FROM p JOIN f USING (sha)""",
     "op3_exact_top_k": """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings

@@ -34,7 +34,7 @@ BLOCKS = [
     ("<b>a<p>b</b>c</p>d", ["a", "bc", "d"]),
     ("<!-- open", []),
     ("", []),
-    ("<div><a href=\"u>v", []),
+    ("<div><a href=\"u>v", ["v"]),  # a quote that never ends doesn't hide the rest
 ]
 
 
