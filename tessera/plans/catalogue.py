@@ -218,8 +218,13 @@ def snippets(spark, d):
 # Profile
 
 
+@query("S16_preview", "SELECT doc_id, substr(text, 1, 80) AS head FROM documents ORDER BY doc_id LIMIT 3")
+def preview(spark, d):
+    return docs(spark, d).orderBy("doc_id").limit(3).select("doc_id", F.substring("text", 1, 80).alias("head"))
+
+
 @query(
-    "P39_S16_column_profile",
+    "P39_column_profile",
     " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null, count(DISTINCT {c}) AS unique_values FROM documents" for c, t in (("doc_id", "bigint"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"))),
 )
 def column_profile(spark, d):
