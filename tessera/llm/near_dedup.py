@@ -30,7 +30,8 @@ REGISTERS, RATE = 128, 20.0
 LOG_BASE = float(np.log(1.001))
 ROWS = 4
 SIGMAS = 6.0
-BLOCK_SHINGLES = 400_000
+#: Bounds of a block, for memory and for the square of its sets that one task compares.
+BLOCK_SHINGLES, BLOCK_SETS = 400_000, 512
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(REGISTERS)
 _SALTS = (_STEPS + 1).astype(np.uint64) * _GOLD
@@ -227,7 +228,7 @@ def _uniting(rows: Block, columns: Block, a: np.ndarray, b: np.ndarray, rule: Ru
 def _links(members: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) whose components are those of all confirmed links of each cluster."""
     load = F.octet_length("hashes") / 8
-    sizes = members.groupBy("cluster").agg(F.ceil(F.sum(load) / BLOCK_SHINGLES).alias("blocks"))
+    sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.sum(load) / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).alias("blocks"))
     dealt = members.join(stored(sizes), "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     schema = "cluster bigint, block bigint, blocks bigint, a bigint, b bigint, packed binary"
     fields = pa.schema([(n, pa.int64()) for n in ("cluster", "block", "blocks", "a", "b")] + [("packed", pa.binary())])
