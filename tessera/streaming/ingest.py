@@ -24,5 +24,5 @@ def ingest(spark: SparkSession, source: str, schema: T.StructType, target: str,
 
 def windowed_counts(events: DataFrame, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
     """Events by type and window of event time; rows later than ``late`` are left out."""
-    rows = events.withWatermark("ts", late)
+    rows = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     return rows.groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
