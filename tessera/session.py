@@ -10,10 +10,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_DEFAULT, _BATCH_BYTES = "67108864b", "4m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each application; their Python workers import it."""
+    """Sends this package to the executors, once for each application; their Python workers import it.
+
+    Where the session has Spark's default of 64 MB for an Arrow batch, 4 MB are set: a worker holds several
+    times its batch while it works on long texts.
+    """
+    if spark.conf.get(_BATCH, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, _BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
