@@ -154,7 +154,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec
 
     heads = buckets.select("bucket", F.col("length").alias("top"))
     longest = heads.orderBy(F.desc("top"), "bucket").first()["bucket"]
-    ids = blocks.select(F.col("bucket").alias("block"), F.lit(longest).alias("bucket"))
+    # Stored, so that the planner sees a join by bucket and not a product with one bucket.
+    ids = stored(blocks.select(F.col("bucket").alias("block"), F.lit(longest).alias("bucket")))
     first = _best(_meet(ids, blocks, buckets, k), k)
     floors = first.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score").cast("double")).alias("floor"))
     known = stored(_with_floors(blocks, floors))
