@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +36,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="tessera-")
+
+
 def shared_place(spark: SparkSession) -> str:
-    """A new path under ``spark.checkpoint.dir``; where that is unset, in this machine's temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
+    """A new path under ``spark.checkpoint.dir``; where that is unset, in this machine's temporary folder if the master is local."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir isn't set: executors need a folder that they share")
+        base = _own_folder()
     return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
 
 
