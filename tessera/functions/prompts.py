@@ -39,3 +39,13 @@ def multimodal(messages: Column) -> Column:
     """Each content as a list of one text part."""
     part = lambda m: F.array(F.struct(F.lit("text").alias("type"), m["content"].alias("text")))
     return F.transform(messages, lambda m: F.struct(m["role"].alias("role"), part(m).alias("content")))
+
+
+def as_parts(messages: list[dict[str, str]]) -> list[dict]:
+    """The same for Python's lists."""
+    return [{"role": m["role"], "content": [{"type": "text", "text": m["content"]}]} for m in messages]
+
+
+def without_prompt(ids: Column, prompt: Column) -> Column:
+    """Of generated ids, what follows the ids of the prompt."""
+    return F.slice(ids, F.size(prompt) + 1, F.greatest(F.size(ids) - F.size(prompt), F.lit(0)))

@@ -7,16 +7,31 @@ from pyspark.sql import functions as F
 
 from tessera import constants as C
 from tessera.functions import text as T
+from tessera.session import written
 
 
-def prepared(corpus: DataFrame, text: str = "text") -> DataFrame:
-    """Normalised texts with id, words and characters; one row for each distinct id. Null texts are left out."""
+def normalised(corpus: DataFrame, text: str = "text") -> DataFrame:
+    """source and source_id of each row's normalised text; null texts are left out."""
     if text not in corpus.columns:
         raise ValueError(f"the corpus has no column {text}")
     rows = corpus.where(F.col(text).isNotNull()).select(T.normalise(F.col(text)).alias("source"))
-    # Equal ids mean equal texts: the shuffle carries each distinct text once per task.
-    rows = rows.dropDuplicates(["source"]).withColumn("source_id", T.source_id(F.col("source")))
-    return rows.select("source", "source_id", T.word_count(F.col("source")).alias("source_word_count"), F.length("source").alias("source_char_count"))
+    return rows.withColumn("source_id", T.source_id(F.col("source")))
+
+
+def prepared(corpus: DataFrame, text: str = "text", min_words: int = 0) -> DataFrame:
+    """source_id, words and characters of normalised texts of ``min_words`` words or more, one row for each distinct id. Texts aren't shuffled."""
+    rows = normalised(corpus, text).select("source_id", T.word_count(F.col("source")).alias("words"), F.length("source").alias("chars"))
+    # Equal ids mean equal texts.
+    return rows.where(F.col("words") >= min_words).groupBy("source_id").agg(F.min("words").alias("source_word_count"), F.min("chars").alias("source_char_count"))
+
+
+def with_texts(rows: DataFrame, corpus: DataFrame, text: str = "text") -> DataFrame:
+    """``rows``, of which there are few (a sample, candidates of a limited number), with their source from the corpus.
+
+    They are broadcast to the corpus; no text is shuffled but theirs.
+    """
+    found = normalised(corpus, text).join(F.broadcast(rows.select("source_id").distinct()), "source_id", "left_semi").dropDuplicates(["source_id"])
+    return rows.join(found, "source_id")
 
 
 def tercile_edges(rows: DataFrame, column: str) -> tuple[float, float]:
@@ -36,7 +51,8 @@ def bucket_of(column: Column, edges: tuple[float, float]) -> Column:
 
 
 def eligible_pool(corpus: DataFrame, min_words: int = 100, text: str = "text") -> DataFrame:
-    rows = prepared(corpus, text).where(F.col("source_word_count") >= min_words)
+    """source_id, words, characters and bucket of the distinct texts that are long enough; computed once, written, without the texts."""
+    rows = written(prepared(corpus, text, min_words))
     return rows.withColumn("source_length_bucket", bucket_of(F.col("source_word_count"), tercile_edges(rows, "source_word_count")))
 
 
@@ -85,10 +101,22 @@ def check_sample(sampled: DataFrame, size: int, min_words: int) -> None:
         raise ValueError(f"a sampled text has fewer than {min_words} words")
 
 
-def replacements(pool: DataFrame, used: DataFrame, seed: int = 42) -> DataFrame:
-    """Pool rows not in ``used``, ranked within their bucket by a second hash: the order in which they stand in."""
-    rank = F.row_number().over(Window.partitionBy("source_length_bucket").orderBy(*by_hash(seed + 1000, "source_id")))
-    return pool.join(used.select("source_id").distinct(), "source_id", "left_anti").withColumn("cand_rank", rank)
+def first_ranked(rows: DataFrame, group: str, order: list[Column], limit: int, name: str) -> DataFrame:
+    """The first ``limit`` rows of each group, numbered from 1. Each of the 64 parts of a group passes on that many at most."""
+    each = Window.partitionBy(group, "__part").orderBy(*order)
+    rows = rows.withColumn("__part", F.pmod(F.xxhash64(*rows.columns), F.lit(64))).withColumn(name, F.row_number().over(each)).where(F.col(name) <= limit).drop("__part")
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col(name) <= limit)
+
+
+def replacements(pool: DataFrame, used: DataFrame, limit: int, seed: int = 42) -> DataFrame:
+    """Pool rows not in ``used``, the first ``limit`` of each bucket by a second hash: the order in which they stand in."""
+    rows = pool.join(used.select("source_id").distinct(), "source_id", "left_anti")
+    return first_ranked(rows, "source_length_bucket", by_hash(seed + 1000, "source_id"), limit, "cand_rank")
+
+
+def most_replacements(size: int, each: int) -> int:
+    """So many candidates of a bucket can be used, if every row of a sample is replaced ``each`` times."""
+    return max(allocation(size).values(), default=0) * each
 
 
 def assigned(failed: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -108,6 +108,7 @@ def generate(sampled: DataFrame, candidates: DataFrame, chat: Chat, config: Conf
 
 
 def _reranked(candidates: DataFrame) -> DataFrame:
+    """Candidates that are left, numbered anew; they are as few as a sample's replacements."""
     from pyspark.sql import Window
 
     return candidates.withColumn("cand_rank", F.row_number().over(Window.partitionBy("source_length_bucket").orderBy("cand_rank")))

@@ -15,7 +15,7 @@ from tessera.plans.rounds import as_qa, attempt, generate, record_of
 from tessera.session import written
 from tessera.sources.config import Config
 from tessera.sources.corpus import load_corpus
-from tessera.sources.providers import Chat, FakeScorer, Scorer, answered, chat_of, scored
+from tessera.sources.providers import Chat, Scorer, answered, chat_of, is_local, scored, scorer_of
 from tessera.sources.store import exists, load_env, read_keyed, read_manifest, write_keyed, write_manifest
 
 # Names of the stages.
@@ -27,6 +27,11 @@ def now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
+def generator_of(config: Config) -> Chat:
+    """Texts are generated over HTTP or by a registered provider; local models only judge."""
+    return chat_of(config.generator_provider, config, kinds=("http",))
+
+
 class Stages:
     """Runs stages over one configuration. Providers may be passed in; else they come from the registry."""
 
@@ -49,6 +54,8 @@ class Stages:
         }[what]
         return read_keyed(self.spark, str(at), schema, defaults=schemas.QA_DEFAULTS if what == "qa" else None)
 
+    # The keys of manifests.
+
     def manifest(self, source: str, eligible: int, buckets: dict[str, int]) -> dict:
         c = self.config
         return {
@@ -62,15 +69,15 @@ class Stages:
             "outputs": {"dataset": str(c.output), "qa": str(c.qa_output), "cometkiwi": str(c.cometkiwi_output), "judge": str(c.judge_output), "manifest": str(c.manifest_output)},
         }
 
-    def sampled(self) -> tuple[DataFrame, DataFrame, str]:
+    def sampled(self) -> tuple[DataFrame, DataFrame, str, DataFrame]:
         corpus, source, _ = load_corpus(self.spark, self.config.dataset_name)
-        eligible = written(pool.eligible_pool(corpus, self.config.min_words))
-        chosen = written(pool.sample(eligible, self.config.sample_size, self.config.seed))
+        eligible = pool.eligible_pool(corpus, self.config.min_words)
+        chosen = written(pool.with_texts(pool.sample(eligible, self.config.sample_size, self.config.seed), corpus))
         pool.check_sample(chosen, self.config.sample_size, self.config.min_words)
-        return eligible, chosen, source
+        return eligible, chosen, source, corpus
 
     def generate(self) -> None:
-        eligible, chosen, source = self.sampled()
+        eligible, chosen, source, corpus = self.sampled()
         counts = {r[0]: r[1] for r in chosen.groupBy("source_length_bucket").count().collect()}
         write_manifest(self.spark, str(self.config.manifest_output), self.manifest(source, eligible.count(), counts))
         if self.config.dry_run:
@@ -81,7 +88,9 @@ class Stages:
         todo = merge.pending(chosen, records)
         # Sources of earlier runs, replacements included, aren't candidates again.
         used = chosen.select("source_id").unionByName(qa.select("source_id"))
-        made = generate(todo, written(pool.replacements(eligible, used, self.config.seed)), self._chat or chat_of(self.config.generator_provider, self.config), self.config)
+        most = pool.most_replacements(self.config.sample_size, self.config.max_replacements)
+        spare = written(pool.with_texts(pool.replacements(eligible, used, most, self.config.seed), corpus))
+        made = generate(todo, spare, self._chat or generator_of(self.config), self.config)
         new_qa = gates.mark_pending(made.qa, self.config.enable_judge)
         write_keyed(written(merge.upsert(records, made.records)), str(self.config.output))
         write_keyed(written(merge.upsert(qa, new_qa)), str(self.config.qa_output))
@@ -92,7 +101,7 @@ class Stages:
         todo = merge.pending(merge.first_by_id(self._read("records"), self.config.sample_size), done)
         if self.config.dry_run:
             return
-        new = scored(todo, self._scorer or FakeScorer(), self.config.cometkiwi_model, self.config.cometkiwi_batch_size)
+        new = scored(todo, self._scorer or scorer_of(self.config), self.config.cometkiwi_model, self.config.cometkiwi_batch_size)
         new = written(new.withColumn("created_at_utc", T.utc_now()))
         write_keyed(written(merge.upsert(done, new)), str(self.config.cometkiwi_output))
 
@@ -106,7 +115,7 @@ class Stages:
         if c.dry_run:
             return
         asked = todo.select("id", prompts.judging(F.col("source"), F.col("reference")).alias("messages"))
-        answers = written(answered(asked, self._judge or chat_of(c.judge_provider, c), c.judge_model_id, partitions=c.api_concurrency, max_tokens=1024))
+        answers = written(answered(asked, self._judge or chat_of(c.judge_provider, c), c.judge_model_id, partitions=1 if is_local(c.judge_provider) else c.api_concurrency, max_tokens=1024))
         new = gates.judged(answers, error="error")
         new = new.select("id", F.lit(c.judge_provider).alias("judge_provider"), F.lit(c.judge_model_id).alias("judge_model"), "judge_score", "judge_flagged", "judge_raw_response", "judge_error", T.utc_now().alias("created_at_utc"))
         write_keyed(written(merge.upsert(done, new)), str(c.judge_output))
@@ -142,7 +151,7 @@ class Stages:
         if c.dry_run:
             return
         rows = rows.select("id", "source_id", "source", "source_word_count", "source_char_count", "source_length_bucket", "replacement_count", (F.col("__retry") + 1).alias("retry_count"), F.lit(True).alias("strict"))
-        tried = written(attempt(rows, self._chat or chat_of(c.generator_provider, c), c).where("hard_gate_passed"))
+        tried = written(attempt(rows, self._chat or generator_of(c), c).where("hard_gate_passed"))
         write_keyed(written(merge.upsert(records, record_of(tried))), str(c.output))
         write_keyed(written(merge.upsert(qa, as_qa(tried))), str(c.qa_output))
         for what, at in (("qe", c.cometkiwi_output), ("judge", c.judge_output)):

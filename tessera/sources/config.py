@@ -13,7 +13,7 @@ PATHS = {"output", "qa_output", "manifest_output", "cometkiwi_output", "judge_ou
 
 @dataclass(frozen=True)
 class Config:
-    """Field names and defaults are those of the exchanged configuration files; models and addresses have none."""
+    """Field names and defaults are those of the exchanged configuration files; models and addresses have none."""
 
     dataset_name: str = ""
     output: Path = Path("data/records.jsonl")

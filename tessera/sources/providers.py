@@ -9,13 +9,17 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from hashlib import md5
+from importlib.util import find_spec
 from typing import Any, Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from tessera.functions.prompts import as_parts
 from tessera.session import ship
 
 
@@ -30,6 +34,7 @@ class Scorer(Protocol):
 # Answers
 
 # The keys under which answers may hold their text, by level.
+_OBJECT_KEYS = ("text", "content", "output_text", "reasoning_content")
 _MESSAGE_KEYS = ("content", "text", "output_text", "reasoning_content")
 _ROOT_KEYS = ("content", "text", "output_text", "response", "reasoning_content")
 
@@ -37,7 +42,7 @@ _ROOT_KEYS = ("content", "text", "output_text", "response", "reasoning_content")
 def content_of(value: Any) -> str | None:
     """Text of a string, a list of strings or parts, or an object; blank text is none."""
     if isinstance(value, dict):
-        return next((c for k in _MESSAGE_KEYS if (c := content_of(value.get(k)))), None) or content_of(str(value))
+        return next((c for k in _OBJECT_KEYS if (c := content_of(value.get(k)))), None) or content_of(str(value))
     if isinstance(value, list):
         parts = [p if isinstance(p, str) else (p.get("text") or p.get("content") or "") if isinstance(p, dict) else "" for p in value]
         value = "".join(map(str, parts))
@@ -65,6 +70,19 @@ def answer_column(body: Column) -> Column:
     return F.coalesce(*[F.nullif(F.btrim(F.get_json_object(body, p), F.lit(" \t\r\n")), F.lit("")) for p in paths])
 
 
+@F.pandas_udf(StringType())
+def answer_text(bodies: pd.Series) -> pd.Series:
+    """``answer_of`` for JSON texts; null where there is no text."""
+
+    def one(body: str) -> str | None:
+        try:
+            return answer_of(json.loads(body))
+        except RuntimeError:
+            return None
+
+    return bodies.map(one)
+
+
 # Clients
 
 
@@ -133,9 +151,10 @@ def retried(call: Callable[[], bytes], retries: int, sleep: Callable[[float], No
 
 @dataclass
 class FakeChat:
-    """A deterministic stand-in: for a judge's prompt a rubric, else the text of the prompt, word by word in the target's markers."""
+    """A deterministic stand-in: for a judge's prompt a rubric, else the text of the prompt, word by word in the target's markers (with ``echo``, as it is)."""
 
     fail_share: float = 0.0
+    echo: bool = False
 
     def chat(self, model: str, messages: list[dict[str, str]], temperature: float = 0.0, max_tokens: int = 4096) -> str:
         from tessera.constants import RUBRIC, TARGET_MARKERS
@@ -147,6 +166,8 @@ class FakeChat:
         if "<translation>" in prompt:
             return json.dumps(dict.fromkeys(RUBRIC, 3 + round(draw * 2)) | {"overall": 3 + draw * 2, "critical_error": draw > 0.97, "issues": [], "rationale": ""})
         source = prompt.partition("<text>\n")[2].rpartition("\n</text>")[0]
+        if self.echo:
+            return source
         out, k = [], 0
         for line in source.split("\n"):
             words = []
@@ -162,27 +183,110 @@ class FakeScorer:
         return [int(md5(f"{p['src']}|{p['mt']}".encode()).hexdigest()[:8], 16) / 2**32 for p in pairs]
 
 
+def without_prompt(made: list, asked: list) -> list:
+    """Of each row of generated ids, what follows the ids it was asked with."""
+    return [row[len(prompt) :] for row, prompt in zip(made, asked, strict=True)]
+
+
+@dataclass(frozen=True)
+class LocalModel:
+    """Loads a model that answers messages: called, it gives a function of messages and the most new tokens. Its packages are imported only then."""
+
+    name: str
+    number_type: str = "bfloat16"
+    device_map: str = "auto"
+    attention: str | None = None
+
+    def __call__(self) -> Callable[[list[dict], int], str]:
+        import torch
+        from transformers import AutoModelForImageTextToText, AutoProcessor
+
+        number = self.number_type if self.number_type == "auto" else getattr(torch, self.number_type, None)
+        if number is None:
+            raise ValueError(f"unknown number type {self.number_type}")
+        options = {"attn_implementation": self.attention} if self.attention else {}
+        reader = AutoProcessor.from_pretrained(self.name)
+        model = AutoModelForImageTextToText.from_pretrained(self.name, torch_dtype=number, device_map=self.device_map, **options)
+        model.eval()
+
+        def answer(messages: list[dict], most: int) -> str:
+            asked = reader.apply_chat_template(messages, tokenize=True, add_generation_prompt=True, return_dict=True, return_tensors="pt").to(model.device)
+            with torch.inference_mode():
+                made = model.generate(**asked, max_new_tokens=most, do_sample=False)
+            return reader.batch_decode(without_prompt(made, asked["input_ids"]), skip_special_tokens=True, clean_up_tokenization_spaces=False)[0]
+
+        return answer
+
+
+@lru_cache(maxsize=2)
+def _loaded(load: Callable) -> Any:
+    """What ``load`` gives, once for each Python worker, however many tasks run there."""
+    return load()
+
+
 @dataclass
 class LocalChat:
     """A local model behind a loader; loaded once in a Python worker, greedy, other arguments unused."""
 
     load: Callable[[], Callable[[list[dict], int], str]]
     max_new_tokens: int = 1024
-    _model: Callable | None = None
 
     def chat(self, model: str, messages: list[dict[str, str]], temperature: float = 0.0, max_tokens: int | None = None) -> str:
-        self._model = self._model or self.load()
-        parts = [{"role": m["role"], "content": [{"type": "text", "text": m["content"]}]} for m in messages]
-        return self._model(parts, max_tokens or self.max_new_tokens).strip()
+        return _loaded(self.load)(as_parts(messages), max_tokens or self.max_new_tokens).strip()
+
+
+@dataclass(frozen=True)
+class QeModel:
+    """Loads a quality-estimation model by name: called, it gives a function of pairs to scores."""
+
+    name: str
+    batch_size: int = 8
+    gpus: int | None = None
+
+    def resolved_gpus(self) -> int:
+        """As configured, not below 0; else one if there is any."""
+        if self.gpus is not None:
+            return max(0, int(self.gpus))
+        try:
+            import torch
+        except ImportError:
+            return 0
+        return int(torch.cuda.is_available())
+
+    def __call__(self) -> Callable[[list[dict[str, str]]], list[float]]:
+        from comet import download_model, load_from_checkpoint
+
+        model, gpus = load_from_checkpoint(download_model(self.name)), self.resolved_gpus()
+
+        def predict(pairs: list[dict[str, str]]) -> list[float]:
+            out = model.predict(pairs, batch_size=self.batch_size, gpus=gpus)
+            return [float(x) for x in getattr(out, "scores", out)]
+
+        return predict
+
+
+@dataclass
+class ModelScorer:
+    """A model behind a loader, loaded once in a Python worker."""
+
+    load: Callable[[], Callable[[list[dict[str, str]]], list[float]]]
+
+    def score(self, pairs: list[dict[str, str]]) -> list[float]:
+        return _loaded(self.load)(pairs)
 
 
 _CHATS: dict[str, Callable[[Any], Chat]] = {"fake": lambda config: FakeChat()}
+_SCORERS: dict[str, Callable[[Any], Scorer]] = {"fake": lambda config: FakeScorer()}
 
 
 def register(name: str, make: Callable[[Any], Chat]) -> None:
     _CHATS[name] = make
 
 
+def register_scorer(name: str, make: Callable[[Any], Scorer]) -> None:
+    _SCORERS[name] = make
+
+
 def http_chat(config) -> HttpChat:
     key = os.environ.get(config.api_key_env)
     if not key:
@@ -191,13 +295,35 @@ def http_chat(config) -> HttpChat:
     return HttpChat(config.api_base_url, key, config.requests_per_minute / max(1, config.api_concurrency), config.timeout_seconds)
 
 
+def local_chat(config) -> LocalChat:
+    model = LocalModel(config.qwen3vl_model, config.qwen3vl_dtype, config.qwen3vl_device_map, config.qwen3vl_attn_implementation)
+    return LocalChat(model, config.qwen3vl_max_new_tokens)
+
+
 register("http", http_chat)
+register("local", local_chat)
+
+
+def is_local(name: str) -> bool:
+    return name == "local" or name.endswith("_local")
+
+
+def chat_of(name: str, config, kinds: tuple[str, ...] = ("http", "local")) -> Chat:
+    """The provider of that name; names of configuration files that end in ``_api`` or ``_local`` are of those kinds, if ``kinds`` has them."""
+    kind = "local" if name.endswith("_local") else "http" if name.endswith("_api") else None
+    if name not in _CHATS and kind not in kinds or name in ("http", "local") and name not in kinds:
+        raise ValueError(f"unknown provider {name}; known: {', '.join(sorted(_CHATS))}, and names that end in _api or _local")
+    return _CHATS[name if name in _CHATS else kind](config)
 
 
-def chat_of(name: str, config) -> Chat:
-    if name not in _CHATS:
-        raise ValueError(f"unknown provider {name}; known: {', '.join(sorted(_CHATS))}")
-    return _CHATS[name](config)
+def scorer_of(config) -> Scorer:
+    """The scorer registered for the configured model; else the model itself, if its package is installed. A stand-in is used by its name only."""
+    name = config.cometkiwi_model
+    if name in _SCORERS:
+        return _SCORERS[name](config)
+    if find_spec("comet") is None:
+        raise RuntimeError(f"no scorer for {name}: none is registered under that name, and the package comet isn't installed")
+    return ModelScorer(QeModel(name, config.cometkiwi_batch_size, config.cometkiwi_gpus))
 
 
 # Use from DataFrames
@@ -234,6 +360,8 @@ def scored(rows: DataFrame, scorer: Scorer, model: str, batch_size: int = 8) ->
                 part = frame.iloc[lo : lo + batch_size]
                 try:
                     scores = scorer.score([{"src": s, "mt": r} for s, r in zip(part["source"], part["reference"], strict=True)])
+                    if len(scores) != len(part):
+                        raise ValueError(f"{len(scores)} scores for {len(part)} pairs")
                     yield pd.DataFrame({"id": part["id"], "cometkiwi_score": scores, "cometkiwi_error": None})
                 except Exception as e:  # noqa: BLE001
                     yield pd.DataFrame({"id": part["id"], "cometkiwi_score": None, "cometkiwi_error": f"{type(e).__name__}: {e}"})

@@ -42,17 +42,21 @@ def read_keyed(spark: SparkSession, at: str, schema: T.StructType, key: str = "i
 def write_keyed(rows: DataFrame, at: str, key: str = "id", single: bool = True) -> None:
     """Replaces ``at`` by one JSON object per line in order of the key, nulls included, text unescaped.
 
-    Written beside the target and renamed, so a file may be replaced by what was read from it. ``single``
-    asks for one file; without it each task writes its own range of keys.
+    Written beside the target and renamed, so a file may be replaced by what was read from it; the old one is
+    moved aside first and deleted last, so at no time are both gone. ``single`` asks for one file; without it
+    each task writes its own range of keys.
     """
     spark, new = rows.sparkSession, f"{at}.{uuid.uuid4().hex}"
     rows = rows.orderBy(key)
     (rows.coalesce(1) if single else rows).write.option("ignoreNullFields", False).json(new)
     path, fs = _path(spark, at)
-    fs.delete(path, True)
     fs.mkdirs(path.getParent())
-    if not fs.rename(_path(spark, new)[0], path):
+    old = _path(spark, f"{at}.{uuid.uuid4().hex}.old")[0]
+    before = fs.exists(path)
+    if before and not fs.rename(path, old) or not fs.rename(_path(spark, new)[0], path):
         raise OSError(f"can't replace {at}")
+    if before:
+        fs.delete(old, True)
 
 
 def write_manifest(spark: SparkSession, at: str, manifest: dict) -> None:

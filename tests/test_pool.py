@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,8 +41,12 @@ def test_pool_and_sample(spark):
     with pytest.raises(ValueError):
         pool.check_sample(chosen, 12, 10)
     pool.check_sample(pool.sample(eligible, 2, 7), 2, 10)  # fewer rows than buckets
-    spare = pool.replacements(eligible, chosen, 7)
-    assert spare.join(chosen, "source_id", "left_semi").isEmpty() and spare.count() == eligible.count() - 9
+    every = pool.replacements(eligible, chosen, 1000, 7)
+    assert every.join(chosen, "source_id", "left_semi").isEmpty() and every.count() == eligible.count() - 9
+    spare = pool.replacements(eligible, chosen, 7, 7)
+    assert sorted(map(tuple, spare.collect())) == sorted(map(tuple, every.where("cand_rank <= 7").collect()))
+    texts = {r.source_id: r.source for r in pool.with_texts(spare, rows).collect()}
+    assert set(texts) == {r.source_id for r in spare.collect()} and all(hashlib.sha1(t.encode()).hexdigest()[:16] == k for k, t in texts.items())
     given = pool.assigned(chosen.where("id < 'eval_00004'"), spare).collect()
     assert len({r.source_id for r in given}) == 4
 

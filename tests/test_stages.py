@@ -99,6 +99,88 @@ def test_pace_and_retries():
         P.chat_of("http", Config(api_key_env="NOT_SET_ANYWHERE"))
 
 
+def test_content_of_objects():
+    """In an object the text comes before the content; in a message it is the other way round."""
+    assert P.content_of({"text": "a", "content": "b"}) == "a" and P.content_of({"text": " ", "output_text": "c"}) == "c"
+    assert P.answer_of({"choices": [{"message": {"text": "a", "content": "b"}}]}) == "b"
+    assert P.answer_of({"choices": [{"message": {"content": {"text": "a", "content": "b"}}}]}) == "a"
+
+
+CONFIGURED = {
+    "generation": {"generator_provider": "far_api", "generator_model": "g"},
+    "api": {"api_base_url": "https://example.invalid/v1", "api_key_env": "SOME_KEY", "requests_per_minute": 12, "api_concurrency": 3},
+    "judge": {"enable_judge": True, "judge_provider": "near_local", "judge_mode": "all"},
+    "qwen3vl": {"qwen3vl_model": "some/model", "qwen3vl_dtype": "bfloat16", "qwen3vl_max_new_tokens": 7},
+    "qa": {"enable_cometkiwi": True, "cometkiwi_model": "some/estimator", "cometkiwi_gpus": None},
+}
+
+
+def test_configured_providers(tmp_path, monkeypatch):
+    """Provider names of configuration files dispatch by their kind; nothing falls back to a stand-in."""
+    (tmp_path / "c.json").write_text(json.dumps(CONFIGURED))
+    c = load(tmp_path / "c.json")
+    monkeypatch.setenv("SOME_KEY", "k")
+    far, near = P.chat_of(c.generator_provider, c), P.chat_of(c.judge_provider, c)
+    assert isinstance(far, P.HttpChat) and far.base_url == "https://example.invalid/v1" and far.per_minute == 4
+    assert isinstance(near, P.LocalChat) and near.load == P.LocalModel("some/model", "bfloat16", "auto", None) and near.max_new_tokens == 7
+    with pytest.raises(ValueError):
+        P.chat_of("near_local", c, kinds=("http",))
+    monkeypatch.setattr(P, "find_spec", lambda name: None)
+    with pytest.raises(RuntimeError):
+        P.scorer_of(c)
+    monkeypatch.setattr(P, "find_spec", lambda name: name)
+    scorer = P.scorer_of(c)
+    assert scorer.load == P.QeModel("some/estimator", 8, None) and scorer.load.resolved_gpus() == 0
+    assert P.QeModel("m", gpus=-2).resolved_gpus() == 0 and P.QeModel("m", gpus=3).resolved_gpus() == 3
+    P.register_scorer("some/estimator", lambda config: P.FakeScorer())
+    try:
+        assert isinstance(P.scorer_of(c), P.FakeScorer)
+    finally:
+        P._SCORERS.pop("some/estimator")
+
+
+def test_scoring_without_a_scorer_fails(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "find_spec", lambda name: None)
+    config = Config(cometkiwi_model="real/model", output=tmp_path / "r", cometkiwi_output=tmp_path / "q")
+    with pytest.raises(RuntimeError):
+        Stages(spark, config).run("cometkiwi")
+    assert not (tmp_path / "q").exists()
+
+
+def test_models_behind_their_packages(monkeypatch):
+    """The local model and the estimator against stand-ins of their packages: arguments, the prompt's tokens stripped, scores as floats."""
+    import sys
+    from contextlib import nullcontext
+    from types import SimpleNamespace as N
+
+    calls = {}
+
+    class Asked(dict):
+        def to(self, device):
+            return self
+
+    class Reader:
+        def apply_chat_template(self, messages, **options):
+            calls["messages"] = messages
+            return Asked(input_ids=[[1, 2, 3]])
+
+        def batch_decode(self, ids, **options):
+            return [" ".join(map(str, r)) + " " for r in ids]
+
+    model = N(device="cpu", eval=lambda: None, generate=lambda input_ids, max_new_tokens, do_sample: [[*input_ids[0], 8, 9][: 3 + max_new_tokens]])
+    kinds = N(AutoProcessor=N(from_pretrained=lambda name: Reader()), AutoModelForImageTextToText=N(from_pretrained=lambda name, **o: calls.update(o) or model))
+    monkeypatch.setitem(sys.modules, "torch", N(bfloat16="b16", inference_mode=nullcontext, cuda=N(is_available=lambda: True)))
+    monkeypatch.setitem(sys.modules, "transformers", kinds)
+    chat = P.LocalChat(P.LocalModel("m/1", attention="x"), 2)
+    assert chat.chat("unused", [{"role": "user", "content": "hi"}]) == "8 9"
+    assert calls["torch_dtype"] == "b16" and calls["attn_implementation"] == "x" and calls["messages"][0]["content"] == [{"type": "text", "text": "hi"}]
+    with pytest.raises(ValueError):
+        P.LocalModel("m/2", "int7")()
+    predict = lambda data, batch_size, gpus: N(scores=[len(d["src"]) + batch_size + gpus for d in data])
+    monkeypatch.setitem(sys.modules, "comet", N(download_model=lambda name: name, load_from_checkpoint=lambda at: N(predict=predict)))
+    assert P.ModelScorer(P.QeModel("m/3", 4)).score([{"src": "ab", "mt": ""}]) == [7.0]
+
+
 def test_local_model_loads_once():
     loads = []
     chat = P.LocalChat(lambda: (loads.append(1), lambda parts, n: f" {parts[0]['content'][0]['text']}{n} ")[1])
