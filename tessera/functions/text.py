@@ -72,12 +72,20 @@ def lines(text: Column) -> Column:
 
 
 def heading_numbers(text: Column) -> Column:
-    return F.filter(F.transform(lines(text), lambda x: F.regexp_extract(x, "(?U)" + C.HEADING, 1)), lambda x: x != "")
+    return headings_in(lines(text))
+
+
+def headings_in(lines_: Column) -> Column:
+    return F.filter(F.transform(lines_, lambda x: F.regexp_extract(x, "(?U)" + C.HEADING, 1)), lambda x: x != "")
 
 
 def list_items(text: Column) -> Column:
+    return items_in(lines(text))
+
+
+def items_in(lines_: Column) -> Column:
     # A line ends before its break, so the white space after the sign has to be there.
-    return F.size(F.filter(lines(text), lambda x: x.rlike("(?U)" + C.LIST_ITEM)))
+    return F.size(F.filter(lines_, lambda x: x.rlike("(?U)" + C.LIST_ITEM)))
 
 
 def sentences(text: Column) -> Column:
@@ -88,14 +96,25 @@ def _repeated_share(items: Column) -> Column:
     return (F.size(items) - F.size(F.array_distinct(items))) / F.greatest(F.size(items), F.lit(1))
 
 
-def has_repeats(text: Column) -> Column:
-    """Six or more lines, over 35 % of them repeats; or six or more sentences of eight words, over 25 % repeats."""
-    by_line = F.filter(F.transform(lines(text), strip), lambda x: x != "")
-    long = F.filter(sentences(text), lambda s: F.size(whitespace_words(s)) >= 8)
-    by_sentence = F.transform(long, lambda s: F.lower(strip(s)))
+def full_lines(lines_: Column) -> Column:
+    """Stripped lines that aren't blank."""
+    return F.filter(F.transform(lines_, strip), lambda x: x != "")
+
+
+def long_sentences(text: Column) -> Column:
+    """Sentences of eight words or more, stripped and lower-cased."""
+    return F.transform(F.filter(sentences(text), lambda s: F.size(whitespace_words(s)) >= 8), lambda s: F.lower(strip(s)))
+
+
+def repeated(by_line: Column, by_sentence: Column) -> Column:
+    """Six or more lines, over 35 % of them repeats; or six or more sentences of eight words, over 25 % repeats. Arguments should be columns, not expressions."""
     return ((F.size(by_line) >= 6) & (_repeated_share(by_line) > 0.35)) | ((F.size(by_sentence) >= 6) & (_repeated_share(by_sentence) > 0.25))
 
 
+def has_repeats(text: Column) -> Column:
+    return repeated(full_lines(lines(text)), long_sentences(text))
+
+
 def strip_fences(text: Column) -> Column:
     text = F.regexp_replace(strip(text), r"(?U)\A```(?:\w+)?\s*", "")
     return strip(F.regexp_replace(text, r"(?U)\s*```\n?\z", ""))

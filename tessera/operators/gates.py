@@ -19,24 +19,26 @@ class Limits:
 
 
 def measured(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (source, reference, source_word_count, ...) with what the gates ask for; each text is tokenised once."""
+    """``pairs`` (source, reference, source_word_count, ...) with what the gates ask for; each text is tokenised and split into lines and sentences once."""
     source, reference = F.col("source"), F.coalesce(F.col("reference"), F.lit(""))
-    rows = pairs.withColumns({"reference": reference, "__s": T.lower_tokens(source), "__r": T.lower_tokens(reference)})
+    rows = pairs.withColumns({"reference": reference, "__s": T.lower_tokens(source), "__r": T.lower_tokens(reference), "__sl": T.lines(source), "__rl": T.lines(reference)})
     rows = rows.withColumns(
         {
             "reference_word_count": F.size("__r"),
             "__ratio": F.size("__r") / F.greatest("source_word_count", F.lit(1)),
             "__copied": T.copied_share(F.col("__s"), F.col("__r")),
             "indonesian_marker_count": T.markers(F.col("__r")),
-            "heading_numbers_expected": T.heading_numbers(source),
-            "heading_numbers_found": T.heading_numbers(F.col("reference")),
-            "__items": T.list_items(source),
-            "__kept_items": T.list_items(F.col("reference")),
+            "heading_numbers_expected": T.headings_in(F.col("__sl")),
+            "heading_numbers_found": T.headings_in(F.col("__rl")),
+            "__items": T.items_in(F.col("__sl")),
+            "__kept_items": T.items_in(F.col("__rl")),
+            "__lines": T.full_lines(F.col("__rl")),
+            "__sentences": T.long_sentences(F.col("reference")),
             "reference_chunk_count": T.chunk_count(F.col("reference")),
         }
     )
     share = F.coalesce(F.try_divide("indonesian_marker_count", "reference_word_count"), F.lit(0.0))
-    return rows.withColumn("__marked", share).drop("__s", "__r")
+    return rows.withColumns({"__marked": share, "__repeated": T.repeated(F.col("__lines"), F.col("__sentences"))}).drop("__s", "__r", "__sl", "__rl", "__lines", "__sentences")
 
 
 def gate_flags(limits: Limits | None = None) -> Column:
@@ -48,7 +50,7 @@ def gate_flags(limits: Limits | None = None) -> Column:
         (C.LANGUAGE, (c("indonesian_marker_count") < C.MARKER_COUNT_MIN) & (c("__marked") < C.MARKER_RATIO_MIN)),
         (C.RATIO, (c("__ratio") < limits.ratio_min) | (c("__ratio") > limits.ratio_max)),
         (C.COPIED, c("__copied") > limits.copy_max),
-        (C.REPEATED, T.has_repeats(c("reference"))),
+        (C.REPEATED, c("__repeated")),
         (C.HEADINGS, (F.size("heading_numbers_expected") > 0) & ~F.arrays_overlap("heading_numbers_expected", "heading_numbers_found")),
         (C.LISTS, (c("__items") >= 3) & (c("__kept_items") < F.greatest(F.lit(1), F.floor(c("__items") * 0.4)))),
     ]
@@ -68,7 +70,7 @@ def hard_gates(pairs: DataFrame, limits: Limits | None = None) -> DataFrame:
             "indonesian_marker_ratio": F.bround("__marked", 4),
         }
     )
-    return rows.drop("__ratio", "__copied", "__marked", "__items", "__kept_items")
+    return rows.drop("__ratio", "__copied", "__marked", "__items", "__kept_items", "__repeated")
 
 
 def judge_selected(mode: str = "sample", audit_rate: float = 0.05, seed: int = 42, forced: list[str] | None = None, key: str = "id") -> Column:

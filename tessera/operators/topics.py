@@ -30,10 +30,13 @@ def weights(counts: DataFrame, words: DataFrame, n_docs: int, key: str = "doc_id
     The vocabulary is bounded by its size parameter and broadcast.
     """
     rows = counts.join(F.broadcast(words.select("term", "df")), "term")
-    by = Window.partitionBy(key)
     idf = F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1)) + 1
-    rows = rows.withColumn("raw", F.col("tf") / F.sum("tf").over(by) * idf)
-    return rows.select(key, "term", (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(by))).alias("weight"))
+    # A document's share cancels out in the unit length, but is kept: it is the definition. Its terms are vocabulary words, so its list is bounded.
+    cells = rows.groupBy(key).agg(F.sum("tf").alias("all"), F.collect_list(F.struct("term", "tf", idf.alias("idf"))).alias("cells"))
+    raw = cells.select(key, F.transform("cells", lambda c: F.struct(c["term"].alias("term"), (c["tf"] / F.col("all") * c["idf"]).alias("raw"))).alias("cells"))
+    size = F.sqrt(F.aggregate("cells", F.lit(0.0), lambda s, c: s + c["raw"] * c["raw"]))
+    rows = raw.withColumn("size", size).select(key, "size", F.explode("cells").alias("c"))
+    return rows.select(key, F.col("c.term").alias("term"), (F.col("c.raw") / F.col("size")).alias("weight"))
 
 
 def gram(weighted: DataFrame, terms: list[str], key: str = "doc_id") -> np.ndarray:
@@ -59,10 +62,12 @@ def gram(weighted: DataFrame, terms: list[str], key: str = "doc_id") -> np.ndarr
             yield pa.RecordBatch.from_pydict({"place": pa.array([k], pa.int32()), "sums": [total[k].tolist()]})
 
     parts = docs.select("cells").mapInArrow(run, "place int, sums array<double>")
-    cells = parts.select("place", F.posexplode("sums").alias("other", "value")).where("value <> 0")
+    at = F.posexplode("sums").alias("other", "value")
+    cells = parts.select("place", at).groupBy("place", "other").agg(F.sum("value").alias("value"))
+    rows = cells.groupBy("place").agg(F.transform(F.array_sort(F.collect_list(F.struct("other", "value"))), lambda c: c["value"]).alias("sums"))
     out = np.zeros((size, size))
-    for r in cells.groupBy("place", "other").agg(F.sum("value").alias("value")).toPandas().itertuples():
-        out[r.place, r.other] = r.value
+    for place, sums in rows.collect():  # a row of doubles for each term of the vocabulary
+        out[place] = sums
     return out
 
 
