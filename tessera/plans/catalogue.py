@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessera import constants as C
 from tessera.functions import text as T
 from tessera.operators import gates, merge, pool, profile, topics
+from tessera.session import shared_place, ship, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,12 +119,12 @@ def source_ids(spark, d):
 @query(
     "P02_P03_P05_P19_words",
     f"""SELECT doc_id, len({_tokens('text')}) AS words, len({_blank_words('text')}) AS blank_words, length(text) AS chars,
-    array_to_string({_lower('text')}[1:5], ' ') AS head FROM documents""",
+    sha256(array_to_string({_lower('text')}, ' ')) AS lowered FROM documents""",
 )
 def words(spark, d):
     t = F.col("text")
     return docs(spark, d).select(
-        "doc_id", T.word_count(t).cast("long").alias("words"), F.size(T.whitespace_words(t)).cast("long").alias("blank_words"), F.length(t).cast("long").alias("chars"), F.array_join(F.slice(T.lower_tokens(t), 1, 5), " ").alias("head")
+        "doc_id", T.word_count(t).cast("long").alias("words"), F.size(T.whitespace_words(t)).cast("long").alias("blank_words"), F.length(t).cast("long").alias("chars"), F.sha2(F.array_join(T.lower_tokens(t), " "), 256).alias("lowered")
     )
 
 
@@ -225,10 +226,10 @@ def preview(spark, d):
 
 @query(
     "P39_column_profile",
-    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null, count(DISTINCT {c}) AS unique_values FROM documents" for c, t in (("doc_id", "bigint"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"))),
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null, count(DISTINCT {c}) AS unique_values FROM documents" for c, t in (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"))),
 )
 def column_profile(spark, d):
-    return profile.column_profile(docs(spark, d).drop("text"))
+    return profile.column_profile(docs(spark, d))
 
 
 @query(
@@ -355,8 +356,10 @@ pool AS (SELECT e.*, CASE WHEN source_word_count <= one THEN 'short' WHEN source
 _SAMPLE = f"""{_POOL},
 r AS (SELECT *, row_number() OVER (PARTITION BY source_length_bucket ORDER BY md5(concat_ws(':', CASE source_length_bucket WHEN 'short' THEN '42' WHEN 'medium' THEN '43' ELSE '44' END, source_id)), source_id) AS rank FROM pool),
 sample AS (SELECT *, format('eval_{{:05d}}', row_number() OVER (ORDER BY source_length_bucket, source_word_count, source_id) - 1) AS id FROM r WHERE rank <= {_SIZE // 3})"""
+_SPARES = pool.most_replacements(_SIZE, 5)
 _SPARE = f"""{_SAMPLE},
-spare AS (SELECT *, row_number() OVER (PARTITION BY source_length_bucket ORDER BY md5(concat_ws(':', '1042', source_id)), source_id)::INTEGER AS cand_rank FROM pool WHERE source_id NOT IN (SELECT source_id FROM sample))"""
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source_length_bucket ORDER BY md5(concat_ws(':', '1042', source_id)), source_id)::INTEGER AS cand_rank FROM pool WHERE source_id NOT IN (SELECT source_id FROM sample)),
+spare AS (SELECT * FROM ranked WHERE cand_rank <= {_SPARES})"""
 
 
 def _pool(spark, d) -> DataFrame:
@@ -367,9 +370,13 @@ def _sample(spark, d) -> DataFrame:
     return pool.sample(_pool(spark, d), _SIZE, _SEED)
 
 
+def _texts(spark, d, rows: DataFrame) -> DataFrame:
+    return pool.with_texts(rows, docs(spark, d))
+
+
 @query("S01_F01_F02_W01_A13_pool", f"WITH {_POOL} SELECT source_id, source_word_count, source_char_count, source_length_bucket FROM pool")
 def eligible(spark, d):
-    return _pool(spark, d).drop("source")
+    return _pool(spark, d)
 
 
 @query("W02_W03_W05_P30_U01_sample", f"WITH {_SAMPLE} SELECT id, source_id, source_word_count, source_length_bucket FROM sample")
@@ -408,7 +415,9 @@ def sampling_report(spark, d):
 
 @query("W06_J06_U04_replacements", f"WITH {_SPARE} SELECT source_id, source_length_bucket, cand_rank FROM spare")
 def replacements(spark, d):
-    return pool.replacements(_pool(spark, d), _sample(spark, d), _SEED).select("source_id", "source_length_bucket", "cand_rank")
+    eligible_ = _pool(spark, d)
+    spare = pool.replacements(eligible_, pool.sample(eligible_, _SIZE, _SEED), _SPARES, _SEED)
+    return spare.select("source_id", "source_length_bucket", "cand_rank")
 
 
 @query(
@@ -417,8 +426,9 @@ def replacements(spark, d):
     SELECT f.id, f.source_length_bucket, spare.source_id FROM f LEFT JOIN spare ON spare.source_length_bucket = f.source_length_bucket AND spare.cand_rank = f.n""",
 )
 def assignment(spark, d):
-    chosen = _sample(spark, d)
-    spare = pool.replacements(_pool(spark, d), chosen, _SEED).select("source_id", "source_length_bucket", "cand_rank")
+    eligible_ = _pool(spark, d)
+    chosen = pool.sample(eligible_, _SIZE, _SEED)
+    spare = pool.replacements(eligible_, chosen, _SPARES, _SEED).select("source_id", "source_length_bucket", "cand_rank")
     return pool.assigned(chosen.where(uniform("fail", F.col("id")) < 0.3), spare).select("id", "source_length_bucket", "source_id")
 
 
@@ -470,9 +480,10 @@ def hard_gates(spark, d):
 
 
 def _qa(spark, d) -> DataFrame:
-    """QA rows of labelled documents: the label passes the gates or not; nothing merged yet."""
-    rows = spark.read.parquet(f"{d}/labels.parquet")
-    id_, good = F.col("doc_id").cast("string"), F.col("quality") == 1
+    """QA rows of labelled documents (the label passes the gates or not) and of benchmark items, which nobody scores; nothing merged yet."""
+    rows = spark.read.parquet(f"{d}/labels.parquet").select(F.col("doc_id").cast("string").alias("id"), "quality")
+    rows = rows.unionByName(spark.read.parquet(f"{d}/benchmark.parquet").select(F.concat(F.lit("b"), "item_id").alias("id"), F.lit(1).alias("quality")))
+    id_, good = F.col("id"), F.col("quality") == 1
     none = F.array().cast("array<string>")
     return rows.select(
         id_.alias("id"), F.when(good, none).otherwise(F.array(F.lit(C.REPEATED))).alias("flags"), none.alias("notes"), good.alias("hard_gate_passed"), F.when(good, C.ACCEPTED).otherwise(C.FAILED).alias("status"),
@@ -482,17 +493,18 @@ def _qa(spark, d) -> DataFrame:
 
 
 def _scores(spark, d) -> DataFrame:
-    """QE scores of every other document, unlabelled ones too; a tenth are errors."""
+    """QE scores of all documents, unlabelled ones too; a twentieth are errors."""
     id_ = F.col("doc_id").cast("string")
-    rows = docs(spark, d).where("doc_id % 2 = 0").select(id_.alias("id"), F.bround(uniform("qe", id_), 4).alias("x"), (F.col("doc_id") % 20 == 0).alias("bad"))
+    rows = docs(spark, d).select(id_.alias("id"), F.bround(uniform("qe", id_), 4).alias("x"), (F.col("doc_id") % 20 == 0).alias("bad"))
     return rows.select("id", F.when(~F.col("bad"), F.col("x")).alias("cometkiwi_score"), F.when(F.col("bad"), "failed").alias("cometkiwi_error"))
 
 
 _QE = f"""
-scores AS (SELECT doc_id::VARCHAR AS id, CASE WHEN doc_id % 20 <> 0 THEN round_even({_uniform("'qe'", 'doc_id::VARCHAR')}, 4) END AS score FROM documents WHERE doc_id % 2 = 0),
+scores AS (SELECT doc_id::VARCHAR AS id, CASE WHEN doc_id % 20 <> 0 THEN round_even({_uniform("'qe'", 'doc_id::VARCHAR')}, 4) END AS score FROM documents),
 q AS (SELECT quantile_cont(score, 0.10) AS p10, quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.75) AS q3 FROM scores),
 thr AS (SELECT greatest(p10, q1 - 1.5 * (q3 - q1)) AS threshold FROM q),
-qa AS (SELECT doc_id::VARCHAR AS id, quality = 1 AS passed, CASE WHEN quality = 1 THEN [] ELSE ['{C.REPEATED}'] END AS flags FROM labels),
+qa AS (SELECT doc_id::VARCHAR AS id, quality = 1 AS passed, CASE WHEN quality = 1 THEN [] ELSE ['{C.REPEATED}'] END AS flags FROM labels
+    UNION ALL SELECT 'b' || item_id, true, []::VARCHAR[] FROM benchmark),
 qe AS (SELECT qa.id, passed, flags || CASE WHEN s.id IS NULL THEN [] WHEN score IS NULL THEN ['{C.QE_ERROR}'] WHEN score <= threshold THEN ['{C.QE_LOW}'] ELSE [] END AS flags, score, s.id IS NOT NULL AS met,
     CASE WHEN s.id IS NOT NULL THEN score IS NULL OR score <= threshold END AS qe_flagged, threshold FROM qa LEFT JOIN scores s ON s.id = qa.id CROSS JOIN thr)"""
 
@@ -532,7 +544,8 @@ def judge_selection(spark, d):
 
 
 _FINAL = f"""{_QE}, {_VERDICT.strip()},
-fin AS (SELECT qe.id, passed, qe.flags || CASE WHEN v2.error THEN ['{C.JUDGE_ERROR}'] WHEN v2.flagged THEN ['{C.JUDGE_LOW}'] ELSE [] END AS flags, qe_flagged, v2.flagged AS judge_flagged, coalesce(qe_flagged, false) OR v2.flagged AS soft FROM qe JOIN verdicts v2 ON v2.id = qe.id),
+fin AS (SELECT qe.id, passed, qe.flags || CASE WHEN v2.error THEN ['{C.JUDGE_ERROR}'] WHEN v2.flagged THEN ['{C.JUDGE_LOW}'] ELSE [] END AS flags, qe_flagged, v2.flagged AS judge_flagged, coalesce(qe_flagged, false) OR coalesce(v2.flagged, false) AS soft, v2.id IS NOT NULL AS judged
+    FROM qe LEFT JOIN verdicts v2 ON v2.id = qe.id),
 final AS (SELECT *, CASE WHEN passed AND NOT soft THEN 'accepted' WHEN passed THEN 'accepted_with_soft_flags' ELSE 'failed_hard_gates' END AS status FROM fin)"""
 
 
@@ -545,7 +558,7 @@ def finalize(spark, d):
     return _final(spark, d).select("id", F.array_join("flags", ",").alias("flags"), "cometkiwi_flagged", "judge_flagged", "status")
 
 
-@query("A21_A24_judge_stats", f"WITH {_FINAL} SELECT count(*) AS merged, count(*) FILTER (judge_flagged AND NOT list_contains(flags, '{C.JUDGE_ERROR}')) AS flagged, count(*) FILTER (list_contains(flags, '{C.JUDGE_ERROR}')) AS errors FROM final")
+@query("A21_A24_judge_stats", f"WITH {_FINAL} SELECT count(*) AS merged, count(*) FILTER (judge_flagged AND NOT list_contains(flags, '{C.JUDGE_ERROR}')) AS flagged, count(*) FILTER (list_contains(flags, '{C.JUDGE_ERROR}')) AS errors FROM final WHERE judged")
 def judge_stats(spark, d):
     return merge.judge_stats(_qa(spark, d), gates.judged(_answers(spark, d)))
 
@@ -607,7 +620,7 @@ def flags(spark, d):
 def records(spark, d):
     from tessera.plans.rounds import record_of
 
-    rows = record_of(_sample(spark, d).withColumn("reference", F.lit("")))
+    rows = record_of(_texts(spark, d, _sample(spark, d)).withColumn("reference", F.lit("")))
     return rows.select("id", "source_word_count", "source_char_count", "source_length_bucket", "source_language", "target_language", "source_chunk_count", F.sha2("source", 256).alias("sha"))
 
 
@@ -621,7 +634,7 @@ def precision(spark, d):
 
 def _weighted(spark, d) -> tuple[DataFrame, DataFrame, int]:
     corpus = docs(spark, d)
-    n, counts = corpus.count(), topics.term_counts(corpus)
+    n, counts = corpus.count(), written(topics.term_counts(corpus))
     words = topics.vocabulary(counts, n)
     return topics.weights(counts, words, n), words, n
 
@@ -645,8 +658,6 @@ def tfidf(spark, d):
 
 def _topics(spark, d) -> tuple:
     weighted, words, _ = _weighted(spark, d)
-    from tessera.session import ship, written
-
     ship(spark)
     weighted = written(weighted)
     terms_ = [r["term"] for r in words.collect()]  # bounded by the vocabulary's size
@@ -661,6 +672,20 @@ def topic_summary(spark, d):
     return topics.summary(profile.features(docs(spark, d)).select("doc_id", "word_count"), assigned, loads, shares)
 
 
+@query(
+    "M06_gram",
+    f"""WITH {_TFIDF}, pairs AS (SELECT a.term, b.term AS other, sum(a.weight * b.weight) AS x FROM weighted a JOIN weighted b USING (doc_id) GROUP BY a.term, b.term)
+    SELECT term, round(max(x) FILTER (term = other), 5) AS own, round(sum(x), 4) AS total FROM pairs GROUP BY term""",
+)
+def gram(spark, d):
+    weighted, words, _ = _weighted(spark, d)
+    ship(spark)
+    terms_ = [r["term"] for r in words.collect()]  # bounded by the vocabulary's size
+    matrix = topics.gram(weighted, terms_)
+    rows = [(t, float(matrix[k, k]), float(matrix[k].sum())) for k, t in enumerate(terms_)]
+    return spark.createDataFrame(rows, "term string, own double, total double").select("term", F.round("own", 5).alias("own"), F.round("total", 4).alias("total"))
+
+
 @query(
     "A26_J10_crosstab",
     f"""WITH {_FEATURES}, q AS (SELECT quantile_cont(word_count, 1 / 3::DOUBLE) AS one, quantile_cont(word_count, 2 / 3::DOUBLE) AS two FROM features),
@@ -689,28 +714,148 @@ def share_audit(spark, d):
 # Models, with the stand-ins
 
 
-@query("S11_S13_C01_C06_P32_P33_stand_ins")
+@query(
+    "S11_S13_C01_C06_P32_P33_stand_ins",
+    f"""WITH {_SAMPLE} SELECT id, round_even({_uniform("source || '|' || source")}, 4) AS cometkiwi_score, NULL::VARCHAR AS cometkiwi_error FROM sample""",
+)
 def stand_ins(spark, d):
+    """Prompts are sent to a stand-in that answers with the prompt's text, and the pairs to one that scores by a hash."""
     from tessera.functions import prompts
     from tessera.sources.providers import FakeChat, FakeScorer, answered, scored
 
-    rows = _sample(spark, d).select("id", "source", prompts.generation(F.col("source")).alias("messages"))
-    answers = answered(rows, FakeChat(), "fake")
+    rows = _texts(spark, d, _sample(spark, d)).select("id", "source", prompts.generation(F.col("source")).alias("messages"))
+    answers = answered(rows, FakeChat(echo=True), "fake")
     pairs = rows.join(answers, "id").select("id", "source", T.strip_fences(F.col("response")).alias("reference"))
     return scored(pairs, FakeScorer(), "fake").select("id", "cometkiwi_score", "cometkiwi_error")
 
 
-@query("C02_C03_rounds")
+@query("C02_C03_rounds", f"WITH {_SAMPLE} SELECT id, source_length_bucket, true AS own_source, true AS once FROM sample")
 def rounds(spark, d):
+    """Every sampled id ends once, with a text of its own from its bucket of the pool, which no other id has."""
+    from pyspark.sql import Window
+
     from tessera.plans.rounds import generate
-    from tessera.session import written
     from tessera.sources.config import Config
     from tessera.sources.providers import FakeChat
 
     config = Config(sample_size=_SIZE, copy_rate_max=0.9, max_retries=1, max_replacements=2)
-    eligible_, chosen = written(_pool(spark, d)), written(_sample(spark, d))
-    made = generate(chosen, written(pool.replacements(eligible_, chosen, _SEED)), FakeChat(fail_share=0.1), config, fail_on_exhaustion=False)
-    return made.qa.select("id", "source_id", "status", "retry_count", "replacement_count")
+    eligible_ = _pool(spark, d)
+    chosen = written(_texts(spark, d, pool.sample(eligible_, _SIZE, _SEED)))
+    spare = pool.replacements(eligible_, chosen, pool.most_replacements(_SIZE, config.max_replacements), _SEED)
+    made = generate(chosen, written(_texts(spark, d, spare)), FakeChat(fail_share=0.1), config, fail_on_exhaustion=False)
+    ended = made.qa.where("hard_gate_passed").unionByName(made.exhausted).select("id", "source_id", "source_length_bucket")
+    own = eligible_.select("source_id", F.col("source_length_bucket").alias("bucket"))
+    count = F.count("*").over(Window.partitionBy("source_id"))
+    rows = ended.withColumn("times", count).join(own, "source_id", "left")
+    return rows.select("id", "source_length_bucket", F.coalesce(F.col("bucket") == F.col("source_length_bucket"), F.lit(False)).alias("own_source"), (F.col("times") == 1).alias("once"))
+
+
+@query("R06_P34_prompt_ids", f"SELECT conv_id, turn, sha256(array_to_string({_tokens('text')}, ' ')) AS left_over, length(text) AS part_chars FROM conversations WHERE text IS NOT NULL")
+def prompt_ids(spark, d):
+    """Words stand in for ids: a turn's role and text as a prompt, then the text again as what was generated."""
+    from tessera.functions import prompts
+
+    rows = spark.read.parquet(f"{d}/conversations.parquet").where("text is not null")
+    said, asked = T.tokens(F.col("text")), F.concat(F.array("role"), T.tokens(F.col("text")))
+    parts = prompts.multimodal(F.array(F.struct("role", F.col("text").alias("content"))))
+    left = prompts.without_prompt(F.concat(asked, said), asked)
+    return rows.select("conv_id", "turn", F.sha2(F.array_join(left, " "), 256).alias("left_over"), F.length(parts[0]["content"][0]["text"]).cast("long").alias("part_chars"))
+
+
+_KEPT = _strip("coalesce(text, '')")
+
+
+@query(
+    "P35_P36_answers",
+    f"""SELECT doc_id, CASE WHEN {_KEPT} <> '' THEN sha256({_KEPT} || CASE WHEN doc_id % 5 = 1 THEN ' end' ELSE '' END)
+    ELSE sha256(CASE doc_id % 5 WHEN 1 THEN 'end' WHEN 3 THEN 'later' ELSE 'none' END) END AS answer FROM documents""",
+)
+def answers(spark, d):
+    """Answers of models in five shapes: a message's string, its list of parts, a choice's text, a root's object, a message's object; 'none' where there is no text."""
+    from tessera.sources.providers import answer_text
+
+    ship(spark)
+    t, say = F.coalesce(F.col("text"), F.lit("")), lambda **fields: F.struct(*[v.alias(k) for k, v in fields.items()])
+    of = lambda content: F.to_json(say(choices=F.array(say(message=say(content=content)))))
+    parts = F.array(say(text=t, content=F.lit("x")), say(text=F.lit(""), content=F.lit(" end")))
+    shapes = [of(t), of(parts), F.to_json(say(choices=F.array(say(text=t)))), F.to_json(say(response=say(content=F.lit("later"), text=t))), of(say(text=t))]
+    shape = F.element_at(F.array(*shapes), (F.col("doc_id") % 5 + 1).cast("int"))
+    return docs(spark, d).select("doc_id", shape.alias("body")).select("doc_id", F.sha2(F.coalesce(answer_text("body"), F.lit("none")), 256).alias("answer"))
+
+
+@query("S03_S04_keyed_lines", "SELECT doc_id AS id, coalesce(l.quality::BIGINT + 10, d.n_chars) AS value, l.quality IS NULL AS first FROM documents d LEFT JOIN labels l USING (doc_id)")
+def keyed_lines(spark, d):
+    """JSON lines in which labelled documents come twice, blank lines between: read (the last line wins), written, read again."""
+    from pyspark.sql import types as S
+
+    from tessera.sources.store import read_keyed, write_keyed
+
+    schema = S.StructType().add("id", S.LongType()).add("value", S.LongType()).add("first", S.BooleanType())
+    line = lambda value, first: F.to_json(F.struct(F.col("doc_id").alias("id"), value.alias("value"), F.lit(first).alias("first"))).alias("line")
+    old = docs(spark, d).select(F.lit(1).alias("part"), "doc_id", line(F.col("n_chars"), True))
+    new = spark.read.parquet(f"{d}/labels.parquet").select(F.lit(3).alias("part"), "doc_id", line(F.col("quality").cast("long") + 10, False))
+    gap = new.select(F.lit(2).alias("part"), "doc_id", F.lit("").alias("line"))
+    at = shared_place(spark)
+    # The feature is one file, in which lines have an order.
+    old.unionByName(gap).unionByName(new).orderBy("part", "doc_id").coalesce(1).select("line").write.text(f"{at}/in")
+    write_keyed(read_keyed(spark, f"{at}/in", schema), f"{at}/out")
+    return read_keyed(spark, f"{at}/out", schema)
+
+
+def _stages(spark, d, folder: str, **more):
+    from tessera.plans.stages import Stages
+    from tessera.sources.config import Config
+
+    names = ("output", "qa_output", "manifest_output", "cometkiwi_output", "judge_output")
+    config = Config(dataset_name=f"{d}/documents.parquet", sample_size=_SIZE, copy_rate_max=1.0, **{n: f"{folder}/{n}" for n in names}, **more)
+    ship(spark)
+    return Stages(spark, config)
+
+
+@query(
+    "C16_C18_S05_S06_manifest",
+    f"""WITH {_SAMPLE} SELECT 'eligible' AS entry, count(*) AS value FROM pool UNION ALL SELECT 'records', 0 UNION ALL SELECT 'size', {_SIZE}
+    UNION ALL SELECT source_length_bucket, count(*) FROM sample GROUP BY source_length_bucket""",
+)
+def manifest(spark, d):
+    """A dry run writes the manifest and nothing else."""
+    from tessera.sources.store import exists, read_manifest
+
+    stages = _stages(spark, d, shared_place(spark), dry_run=True)
+    stages.run("generate")
+    sampling = read_manifest(spark, str(stages.config.manifest_output))["sampling"]
+    rows = {"eligible": sampling["eligible_rows"], "size": sampling["sample_size"], "records": int(exists(spark, str(stages.config.output))), **sampling["bucket_counts"]}
+    return spark.createDataFrame(list(rows.items()), "entry string, value bigint")
+
+
+@query(
+    "C05_C10_C15_C17_C19_S08_S09_stages",
+    f"""SELECT unnest(['records', 'qa', 'scored', 'judged', 'kept by resume', 'passed gates', 'unscored after remediation', 'failed gates after remediation']) AS what,
+    unnest([{_SIZE}, {_SIZE}, {_SIZE}, {_SIZE}, {_SIZE}, {_SIZE}, 0, 0]) AS differs""",
+)
+def stage_counts(spark, d):
+    """All stages with the stand-ins, resumed, then remediated: what was there stays, what is replaced loses its scores."""
+    from dataclasses import replace
+
+    from tessera import schemas
+    from tessera.sources.store import read_keyed
+
+    stages = _stages(spark, d, shared_place(spark), enable_cometkiwi=True, enable_judge=True, judge_mode="all", max_replacements=9)
+    stages.run("all")
+    c = stages.config
+    read = lambda at, schema: read_keyed(spark, str(at), schema)
+    records = written(read(c.output, schemas.RECORD).select("id", "source", "reference"))
+    counts = [("records", records.count()), ("qa", read(c.qa_output, schemas.QA).count()), ("scored", read(c.cometkiwi_output, schemas.QE).count()), ("judged", read(c.judge_output, schemas.JUDGE).count())]
+    type(stages)(spark, replace(c, resume=True)).run("all")
+    counts.append(("kept by resume", read(c.output, schemas.RECORD).select("id", "source", "reference").intersect(records).count()))
+    qa = written(read(c.qa_output, schemas.QA).drop("judge_score"))
+    counts.append(("passed gates", qa.where("hard_gate_passed").count()))
+    soft = merge.to_remediate(qa).select("id")
+    type(stages)(spark, c).run("remediate")
+    done, scores = read(c.qa_output, schemas.QA), read(c.cometkiwi_output, schemas.QE)
+    again = done.join(soft, "id").where("retry_count > 0")
+    counts += [("unscored after remediation", again.join(scores, "id").count()), ("failed gates after remediation", done.where("not hard_gate_passed").count())]
+    return spark.createDataFrame(counts, "what string, differs bigint")
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
