@@ -30,9 +30,13 @@ def generation(source: Column, strict: Column | bool = False) -> Column:
     return _messages(_GENERATE, F.concat(note, F.lit("<text>\n"), source, F.lit("\n</text>")))
 
 
+#: What stands before, between and behind the two texts of a judge's prompt.
+JUDGED = (f"{_SCALE}\nAnswer by this schema: {json.dumps(_ANSWER)}\n\n<source>\n", "\n</source>\n\n<translation>\n", "\n</translation>")
+
+
 def judging(source: Column, reference: Column) -> Column:
-    task = f"{_SCALE}\nAnswer by this schema: {json.dumps(_ANSWER)}\n\n"
-    return _messages(_JUDGE, F.concat(F.lit(task + "<source>\n"), source, F.lit("\n</source>\n\n<translation>\n"), reference, F.lit("\n</translation>")))
+    before, between, behind = map(F.lit, JUDGED)
+    return _messages(_JUDGE, F.concat(before, source, between, reference, behind))
 
 
 def multimodal(messages: Column) -> Column:

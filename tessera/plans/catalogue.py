@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera import constants as C
 from tessera.functions import text as T
+from tessera.functions.prompts import JUDGED
 from tessera.operators import gates, merge, pool, profile, topics
 from tessera.session import shared_place, ship, written
 
@@ -729,6 +730,56 @@ def stand_ins(spark, d):
     return scored(pairs, FakeScorer(), "fake").select("id", "cometkiwi_score", "cometkiwi_error")
 
 
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_PROMPT = " || ".join([_quoted(JUDGED[0]), "source", _quoted(JUDGED[1]), "source", _quoted(JUDGED[2])])
+
+
+@query(
+    "C07_C12_judge_calls",
+    f"""WITH {_SAMPLE}, d AS (SELECT id, {_uniform("'fake'", _PROMPT)} AS x FROM sample)
+    SELECT id, x < 0.1 AS error, CASE WHEN x >= 0.1 THEN round(3 + x * 2, 6) END AS overall, x < 0.1 OR x > 0.97 OR 3 + x * 2 < {C.JUDGE_MIN_OVERALL} OR 3 + round_even(x * 2, 0) < {C.JUDGE_MIN_ACCURACY} AS flagged FROM d""",
+)
+def judge_calls(spark, d):
+    """A stand-in judges pairs by a hash of its prompt; a tenth of its calls fail and become flagged rows with their error."""
+    from tessera.functions import prompts
+    from tessera.sources.providers import FakeChat, answered
+
+    rows = _texts(spark, d, _sample(spark, d))
+    asked = rows.select("id", prompts.judging(F.col("source"), F.col("source")).alias("messages"))
+    done = gates.judged(answered(asked, FakeChat(fail_share=0.1), "fake"), error="error")
+    return done.select("id", F.col("judge_error").isNotNull().alias("error"), F.round(F.try_variant_get("judge_score", "$.overall", "double"), 6).alias("overall"), F.col("judge_flagged").alias("flagged"))
+
+
+@query(
+    "A18_F02_refusals",
+    f"""WITH {_SAMPLE} SELECT unnest(['sample as planned', 'sample of another size', 'sample of longer texts', 'two rows', 'equal lengths']) AS what,
+    unnest([(SELECT count(*) FROM sample) <> {_SIZE}, true, (SELECT min(source_word_count) FROM sample) < 100000, true, true]) AS refused""",
+)
+def refusals(spark, d):
+    """What the checks of pools and samples refuse."""
+    eligible_ = _pool(spark, d)
+    chosen = written(pool.sample(eligible_, _SIZE, _SEED))
+
+    def refused(check: Callable[[], object]) -> bool:
+        try:
+            check()
+        except ValueError:
+            return True
+        return False
+
+    rows = [
+        ("sample as planned", refused(lambda: pool.check_sample(chosen, _SIZE, 100))),
+        ("sample of another size", refused(lambda: pool.check_sample(chosen, _SIZE + 3, 100))),
+        ("sample of longer texts", refused(lambda: pool.check_sample(chosen, _SIZE, 100_000))),
+        ("two rows", refused(lambda: pool.tercile_edges(chosen.limit(2), "source_word_count"))),
+        ("equal lengths", refused(lambda: pool.tercile_edges(chosen.withColumn("source_word_count", F.lit(7)), "source_word_count"))),
+    ]
+    return spark.createDataFrame(rows, "what string, refused boolean")
+
+
 @query("C02_C03_rounds", f"WITH {_SAMPLE} SELECT id, source_length_bucket, true AS own_source, true AS once FROM sample")
 def rounds(spark, d):
     """Every sampled id ends once, with a text of its own from its bucket of the pool, which no other id has."""
