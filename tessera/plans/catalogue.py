@@ -909,6 +909,104 @@ def stage_counts(spark, d):
     return spark.createDataFrame(counts, "what string, differs bigint")
 
 
+# Settings, connectors and their refusals: results that don't depend on the tables
+
+
+def _listed(rows: list[tuple[str, str]]) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in rows) + ") AS t(what, found)"
+
+
+def _refused(call: Callable[[], object], *kinds: type[Exception]) -> str:
+    try:
+        call()
+    except kinds:
+        return "refused"
+    return "taken"
+
+
+@query("S02_fallback", "SELECT count(*) AS n, 1 AS failed, true AS named FROM documents")
+def fallback(spark, d):
+    """The corpus from the second place, as the first doesn't exist."""
+    from tessera.sources.corpus import load_corpus
+
+    rows, name, failed = load_corpus(spark, f"{d}/nowhere.parquet", f"{d}/documents.parquet")
+    return rows.agg(F.count("*").alias("n")).select("n", F.lit(len(failed)).alias("failed"), F.lit(name == f"{d}/documents.parquet").alias("named"))
+
+
+@query(
+    "S08_S09_S10_S14_P37_P38_F22_settings",
+    _listed(
+        [("sample size of a section", "9"), ("old name of a limit", "3.5"), ("path", "x/y"), ("limit", "5"), ("dry run", "True"), ("resume unset", "False"), ("stage of the command line", "judge"), ("resume of the command line", "False"),
+         ("judge over HTTP", "far"), ("local judge", "near"), ("provider over HTTP", "HttpChat"), ("local provider", "LocalChat"), ("no key", "refused"), ("unknown provider", "refused"), ("local model that generates", "refused"),
+         ("unknown stage", "refused"), ("unknown stage of the command line", "refused"), ("time", "20xx-xx-xxTxx:xx:xxZ")]
+    ),
+)
+def settings(spark, d):
+    import os
+    from dataclasses import replace
+
+    from tessera.cli import parser
+    from tessera.plans.stages import Stages, generator_of, now
+    from tessera.sources.config import of, override
+    from tessera.sources.providers import chat_of
+
+    c = of({"sampling": {"sample_size": 9}, "judge": {"judge_min_adequacy": 3.5, "judge_provider": "some_local", "judge_model": "far"}, "qwen3vl": {"qwen3vl_model": "near"}, "paths": {"output": "x/y"}, "junk": 1})
+    new, asked = override(c, dry_run=True, limit=5), parser().parse_args(["--config", "c.json", "--stage", "judge", "--no-resume"])
+    key = "TESSERA_QUERY_KEY"
+    os.environ[key] = "k"
+    far = replace(c, judge_provider="some_api", generator_provider="some_api", api_key_env=key)
+    clock = "".join("x" if x.isdigit() and k > 1 else x for k, x in enumerate(now()))
+    rows = [
+        ("sample size of a section", str(c.sample_size)), ("old name of a limit", str(c.judge_min_accuracy)), ("path", str(c.output)), ("limit", str(new.sample_size)), ("dry run", str(new.dry_run)), ("resume unset", str(new.resume)),
+        ("stage of the command line", asked.stage), ("resume of the command line", str(asked.resume)), ("judge over HTTP", far.judge_model_id), ("local judge", c.judge_model_id),
+        ("provider over HTTP", type(generator_of(far)).__name__), ("local provider", type(chat_of(c.judge_provider, c)).__name__),
+        ("no key", _refused(lambda: generator_of(replace(far, api_key_env=key + "_2")), RuntimeError)), ("unknown provider", _refused(lambda: chat_of("nobody", c), ValueError)),
+        ("local model that generates", _refused(lambda: generator_of(replace(far, generator_provider="some_local")), ValueError)),
+        ("unknown stage", _refused(lambda: Stages(spark, c).run("nothing"), ValueError)), ("unknown stage of the command line", _refused(lambda: parser().parse_args(["--config", "c", "--stage", "nothing"]), SystemExit)), ("time", clock),
+    ]
+    del os.environ[key]
+    return spark.createDataFrame(rows, "what string, found string")
+
+
+@query(
+    "C13_C14_J11_calls",
+    _listed([("starts of four calls, ten a minute", "0 6 12 18"), ("waits of six retries", "5 10 20 40 60 60"), ("waits of a lasting failure", "5 10"), ("another failure", "refused"), ("scores that don't fit the pairs", "ValueError: 1 scores for 2 pairs")]),
+)
+def calls(spark, d):
+    """Pace and retries against a clock of their own, and a scorer that gives too few scores."""
+    from tessera.sources import providers as P
+
+    time, starts, waits = [0.0], [], []
+    pace = P.Pace(10, lambda: time[0], lambda s: time.__setitem__(0, time[0] + s))
+    for _ in range(4):
+        pace.wait()
+        starts.append(time[0])
+
+    def failing(times: int) -> Callable[[], bytes]:
+        left = [times]
+
+        def call() -> bytes:
+            left[0] -= 1
+            if left[0] >= 0:
+                raise P.Overloaded("later")
+            return b""
+
+        return call
+
+    shown = lambda xs: " ".join(f"{x:g}" for x in xs)
+    P.retried(failing(6), 6, waits.append)
+    six, waits = waits, []
+    lasting = _refused(lambda: P.retried(failing(9), 2, waits.append), P.Overloaded)
+    ship(spark)
+    pairs = spark.createDataFrame([("a", "s", "r"), ("b", "s", "r")], "id string, source string, reference string").coalesce(1)
+    found = P.scored(pairs, P.FewScores(), "fake").agg(F.max("cometkiwi_error")).first()[0]
+    rows = [
+        ("starts of four calls, ten a minute", shown(starts)), ("waits of six retries", shown(six)), ("waits of a lasting failure", shown(waits) if lasting == "refused" else lasting),
+        ("another failure", _refused(lambda: P.retried(lambda: [][0], 3, waits.append), IndexError)), ("scores that don't fit the pairs", found),
+    ]
+    return spark.createDataFrame(rows, "what string, found string")
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Corpus to stratified sample, summed up by bucket: normalise, identify, deduplicate, filter, cut in terciles, draw."""
     return pool.bucket_summary(_sample(spark, d), _SIZE)

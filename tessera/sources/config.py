@@ -67,9 +67,13 @@ class Config:
 
 
 def load(path: str | Path) -> Config:
+    return of(json.loads(Path(path).read_text(encoding="utf-8")))
+
+
+def of(content: dict) -> Config:
     """Sections are flattened, the old name of the accuracy limit is known, unknown entries are dropped."""
     entries: dict = {}
-    for name, value in json.loads(Path(path).read_text(encoding="utf-8")).items():
+    for name, value in content.items():
         entries |= value if name in SECTIONS and isinstance(value, dict) else {name: value}
     if "judge_min_adequacy" in entries:
         entries.setdefault("judge_min_accuracy", entries["judge_min_adequacy"])

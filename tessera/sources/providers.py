@@ -183,6 +183,14 @@ class FakeScorer:
         return [int(md5(f"{p['src']}|{p['mt']}".encode()).hexdigest()[:8], 16) / 2**32 for p in pairs]
 
 
+@dataclass
+class FewScores:
+    """A stand-in that always leaves out one score."""
+
+    def score(self, pairs: list[dict[str, str]]) -> list[float]:
+        return [0.0] * (len(pairs) - 1)
+
+
 def without_prompt(made: list, asked: list) -> list:
     """Of each row of generated ids, what follows the ids it was asked with."""
     return [row[len(prompt) :] for row, prompt in zip(made, asked, strict=True)]
