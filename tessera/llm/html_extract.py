@@ -40,6 +40,8 @@ _BLOCK = frozenset(
 )
 _ENDS_P = _BLOCK - {"html", "body", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "legend", "option"}
 _SCOPE = frozenset("html table td th caption template object".split())
+_HEADINGS = tuple(f"h{k}" for k in range(1, 7))
+_OF_TABLES = frozenset("tr table tbody thead tfoot".split())
 #: For an element, the open ones that its start ends, and where the search for them stops.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
@@ -68,6 +70,62 @@ _WORD = {t: k for k, group in enumerate(_WORDS) for t in group.split()}
 _NK, _NW = len(_KINDS) + 1, len(_WORDS)
 
 
+class _Open:
+    """The elements that are open, innermost last, and where those of each tag stand; every step takes a time of its own, not that of the depth."""
+
+    __slots__ = ("stack", "places", "blocks")
+
+    def __init__(self):
+        self.stack: list[tuple[str | None, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.push("html", 0)
+
+    def node(self) -> int:
+        return self.stack[-1][1]
+
+    def top(self) -> str | None:
+        return self.stack[-1][0]
+
+    def push(self, tag: str, node: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in _BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, node))
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost element of these tags, -1 if none is open."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
+
+    def block(self) -> int:
+        return self.blocks[-1] if self.blocks else -1
+
+    def forget(self, k: int) -> None:
+        """The k-th element, the innermost of its tag and no block, is no more open; what is in it still is."""
+        tag, node = self.stack[k]
+        self.places[tag].pop()
+        self.stack[k] = (None, node)
+
+    def cut(self, k: int) -> list[str]:
+        """Ends all from the k-th on; their tags."""
+        gone = []
+        while len(self.stack) > k:
+            tag, _ = self.stack.pop()
+            if tag:
+                gone.append(tag)
+                self.places[tag].pop()
+                if tag in _BLOCK:
+                    self.blocks.pop()
+        while self.stack[-1][0] is None:
+            self.stack.pop()
+        return gone
+
+
+@lru_cache(maxsize=None)
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I)
+
+
 class Page:
     """Nodes in the order of the source (parents first), and the page's content as a stream.
 
@@ -98,13 +156,13 @@ class Page:
             self.stream.append((-1, " "))
 
     def _read(self, source: str) -> None:
-        stack, hidden, at = [("html", 0)], 0, 0
+        open_, hidden, at = _Open(), 0, 0
         stream, size = self.stream, len(source)
         while at < size:
             m = _TAG.search(source, at)
             stop = m.start() if m else size
             if stop > at and not hidden:
-                self._say(stack[-1][1], source[at:stop])
+                self._say(open_.node(), source[at:stop])
             if not m:
                 break
             at, closed, opened = m.end(), m[1], m[2]
@@ -117,68 +175,46 @@ class Page:
                         stream.append((-2, ""))
                     continue
                 if tag in ("html", "body"):
-                    while len(stack) > 1 and stack[-1][0] == "head":
-                        hidden -= 1
-                        stack.pop()
+                    while open_.top() == "head":
+                        hidden -= self._close(open_, len(open_.stack) - 1, False)
                     stream.append((-2, ""))
                     continue
-                hidden -= self._end_implied(stack, tag)
+                if tag in _ENDS_P and (k := open_.last("p")) > open_.last(*_SCOPE):
+                    hidden -= self._close(open_, k)
+                if tag in _ENDS and (k := open_.last(*_ENDS[tag][0])) > open_.last(*_ENDS[tag][1]):
+                    hidden -= self._close(open_, k)
                 if tag in _RAW:
-                    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(source, at)
+                    end = _raw_end(tag).search(source, at)
                     at = end.end() if end else size
                     continue
                 if tag in _HIDDEN:
                     hidden += 1
-                node = stack[-1][1]
+                node = open_.node()
                 if not hidden:
                     if tag in _BLOCK:
                         stream.append((-2, ""))
                     node = self._node(node, _KIND.get(tag, _OTHER), _tokens(m[3]))
-                stack.append((tag, node))
+                open_.push(tag, node)
             elif closed:
-                hidden -= self._end(stack, closed.lower())
+                hidden -= self._end(open_, closed.lower())
 
-    def _pop_to(self, stack: list, k: int) -> int:
+    def _close(self, open_: _Open, k: int, border: bool = True) -> int:
         """Ends all from the k-th on; how many of them were hidden."""
-        gone = [tag for tag, _ in stack[k:]]
-        del stack[k:]
-        if any(t in _BLOCK for t in gone):
+        gone = open_.cut(k)
+        if border and any(t in _BLOCK for t in gone):
             self.stream.append((-2, ""))
         return sum(t in _HIDDEN for t in gone)
 
-    def _end_implied(self, stack: list, tag: str) -> int:
-        out = 0
-        if tag in _ENDS_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    out += self._pop_to(stack, k)
-                    break
-                if stack[k][0] in _SCOPE:
-                    break
-        if tag in _ENDS:
-            ends, stops = _ENDS[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in ends:
-                    out += self._pop_to(stack, k)
-                    break
-                if stack[k][0] in stops:
-                    break
-        return out
-
-    def _end(self, stack: list, tag: str) -> int:
+    def _end(self, open_: _Open, tag: str) -> int:
         if tag in ("html", "body"):
             return 0
-        heading = len(tag) == 2 and tag[0] == "h" and tag[1] in "123456"
-        for k in range(len(stack) - 1, 0, -1):
-            name = stack[k][0]
-            if name == tag or heading and len(name) == 2 and name[0] == "h" and name[1] in "123456":
-                if tag not in _BLOCK and any(t in _BLOCK for t, _ in stack[k + 1 :]):
-                    del stack[k]  # misnested formatting: the blocks inside stay open
-                    return int(tag in _HIDDEN)
-                return self._pop_to(stack, k)
-            if name in ("td", "th", "caption") and tag not in ("tr", "table", "tbody", "thead", "tfoot"):
-                break
-        return 0
+        k = open_.last(*_HEADINGS) if tag in _HEADINGS else open_.last(tag)
+        if k < 1 or tag not in _OF_TABLES and open_.last("td", "th", "caption") > k:
+            return 0
+        if tag not in _BLOCK and open_.block() > k:
+            open_.forget(k)  # misnested formatting: the blocks inside stay open
+            return int(tag in _HIDDEN)
+        return self._close(open_, k)
 
     def blocks(self, kept) -> list[str]:
         """Texts of the kept nodes, one string for each block that holds any."""
@@ -307,7 +343,9 @@ def extract(rows: DataFrame, forest: Forest | None = None, key: str = "page_id",
     """key, url, text (empty if none), n_chars of each page's whole HTML; null counts as empty.
 
     The model is trained on the driver from synthetic pages (no page of the table) and sent along; it has a
-    fixed size. Rows stay rows of their own, columns beyond the three are not read, nothing is shuffled.
+    fixed size. Rows stay rows of their own, repeated ones and null keys too; an empty table has no rows; columns
+    beyond the three are not read, nothing is shuffled. A page may have any length below 2 GB and any depth: time
+    grows in proportion to its nodes, and a worker holds about a KB for each of them, 64 pages at a time.
     """
     own_columns(rows, key, url, source)
     forest = forest or model()

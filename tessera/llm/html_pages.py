@@ -21,6 +21,8 @@ _SHARE = ["div.share", "ul.social", "div.share-buttons", "div.tags", "p.byline-l
 class _Writer:
     def __init__(self, seed: int):
         self.r = random.Random(seed)
+        # Some sites' names say nothing, or not in words known here.
+        self.dumb = random.Random(seed + 1).random() < 0.3
 
     def word(self) -> str:
         return "".join(self.r.choice(_SOUNDS) for _ in range(self.r.randint(1, 4)))
@@ -41,6 +43,8 @@ class _Writer:
             for sign, name in ((".", "class"), ("#", "id")):
                 if sign in part:
                     tag, value = part.split(sign, 1)
+                    if self.dumb:
+                        tag, value = (tag if self.r.random() < 0.4 else "div"), f"{self.word()}-{self.r.randint(1, 99)}"
                     attr = f' {name}="{value}"'
             if attr and self.r.random() < 0.3:
                 attr = f' data-x="{self.r.randint(1, 99)}"{attr}'
