@@ -1,16 +1,18 @@
 """Offset-preserving SentencePiece encoding and decoding.
 
 The text is normalised here, not in the library: at each position the longest prefix found in the
-model's compiled character map is replaced, and every byte written remembers the byte it came from.
-The library segments the normalised text only; each piece's byte range there is then projected
-through the alignment to a range of bytes of the original text.
+model's compiled character map is replaced, and every byte written remembers the byte it came from. Between
+the bytes that a mapped prefix can begin with, which a search finds at once, text stands for itself; a model whose
+map is empty has no such byte, and its text is one such stretch. The library segments the normalised text
+only; each piece's byte range there is then projected through the alignment to a range of bytes of the original text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -21,7 +23,8 @@ from pyspark.sql import DataFrame
 from tessera.llm.shared import own_columns
 
 SPACE = "▁"
-BYTE_PIECE = 6
+# Kinds of pieces in model files.
+USER_PIECE, BYTE_PIECE = 4, 6
 
 
 class CharacterMap:
@@ -55,69 +58,89 @@ class CharacterMap:
         start, length = found
         return self.pool[start : self.pool.index(b"\0", start)], length
 
+    def begins(self, byte: int) -> bool:
+        """May a mapped prefix begin with this byte?"""
+        if not self.units:
+            return False
+        node = self._step(0, self.units[0]) ^ byte
+        return node < len(self.units) and self.units[node] & 0x800000FF == byte and byte > 0
+
     @staticmethod
     def _step(node: int, unit: int) -> int:
         return node ^ (unit >> 10 << ((unit & 0x200) >> 6))
 
 
 class Normaliser:
-    """A model's normalisation, with the source byte of every byte that it writes."""
+    """A model's normalisation, with the source byte of every byte that it writes. ``kept`` are symbols that are never mapped."""
 
-    def __init__(self, spec):
+    def __init__(self, spec, kept: Iterable[str] = ()):
         self.map = CharacterMap(spec.precompiled_charsmap)
         self.prefix, self.squeeze = spec.add_dummy_prefix, spec.remove_extra_whitespaces
         self.space = (SPACE if spec.escape_whitespaces else " ").encode()
-        self.plain = not self.map.units and not self.squeeze
+        symbols = sorted((k.encode() for k in kept), key=len, reverse=True)
+        firsts = b"".join(re.escape(bytes([b])) for b in range(256) if self.map.begins(b))
+        # A mapped prefix may start only at a character's first byte; a symbol goes before it.
+        either = [b"(" + b"|".join(map(re.escape, symbols)) + b")" if symbols else b"((?!))", *([b"[" + firsts + b"]"] if firsts else [])]
+        self.search = re.compile(b"|".join(either)).search
+
+    def _chunks(self, text: bytes) -> Iterator[tuple[bytes, int, int, bool]]:
+        """Replacement, start, end, and whether it is a stretch that stands for itself."""
+        at = start = 0
+        while m := self.search(text, at):
+            at = m.start()
+            if m[1]:
+                at = m.end()
+                continue
+            hit = self.map.longest(text, at)
+            if hit is None:
+                first = text[at]
+                at += 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
+                continue
+            if at > start:
+                yield text[start:at], start, at, True
+            yield hit[0], at, at + hit[1], False
+            at = start = at + hit[1]
+        if start < len(text):
+            yield text[start:], start, len(text), True
 
     def __call__(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text and, for each of its bytes and its end, the offset in the UTF-8 of ``text``."""
-        return self._by_bytes(text) if self.plain else self._by_prefixes(text)
-
-    def _by_bytes(self, text: str) -> tuple[str, np.ndarray]:
-        if not text:
+        source = text.encode()
+        if not source:
             return "", np.zeros(1, np.int64)
-        source = np.frombuffer(text.encode(), np.uint8)
-        width = np.where(source == 32, len(self.space), 1)
-        where = np.repeat(np.arange(len(source)), width)
-        out = text.replace(" ", self.space.decode())
-        if self.prefix:
-            out, where = self.space.decode() + out, np.concatenate([np.zeros(len(self.space), np.int64), where])
-        return out, np.append(where, len(source))
-
-    def _chunks(self, text: bytes) -> Iterator[tuple[bytes, int, int]]:
-        """Replacement, start and end of one prefix after another; an unmapped character stands for itself."""
-        at = 0
-        while at < len(text):
-            hit = self.map.longest(text, at)
-            if hit is None:
-                first = text[at]
-                n = 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
-                hit = text[at : at + n], n
-            yield hit[0], at, at + hit[1]
-            at += hit[1]
-
-    def _by_prefixes(self, text: str) -> tuple[str, np.ndarray]:
-        source, out, where, end, blank = text.encode(), bytearray(), [], 0, self.squeeze
-        for new, start, after in self._chunks(source):
+        new, where, after, leading = [], [], [], []
+        head, blank = 0, self.squeeze  # the added prefix stands behind white space that is left out
+        for put, start, end, own in self._chunks(source):
+            n = len(put)
             if blank:
-                new = new.lstrip(b" ")
-            if new or not self.squeeze:
-                if self.prefix and not where:
-                    out += self.space
-                    where += [start] * len(self.space)
-                for byte in new:
-                    more = self.space if byte == 32 else bytes([byte])
-                    out += more
-                    where += [start] * len(more)
-                end = after
-                if self.squeeze:
-                    blank = new.endswith(b" ")
+                spaces = n - len(put.lstrip(b" "))
+                blank = spaces == n if own else put == b" "
+                head = start + spaces if own else end if blank else head
+            new.append(put)
+            where.append(np.arange(start, end) if own else np.full(n, start))
+            # Where the text goes on behind a byte: behind its whole prefix.
+            after.append(np.arange(start + 1, end + 1) if own else np.full(n, end))
+            leading.append(np.ones(n, bool) if own else np.arange(n) < n - len(put.lstrip(b" ")))
+        out = np.frombuffer(b"".join(new), np.uint8)
+        where, after, leading = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (where, after, leading))
+        end = len(source)
+        if self.squeeze:
+            blank = out == 32
+            keep = ~(blank & leading.astype(bool) & np.append(True, blank[:-1])[: len(out)])
+            out, where, after = out[keep], where[keep], after[keep]
+            end = int(after[-1]) if len(after) else 0
+        width = np.where(out == 32, len(self.space), 1)
+        where = np.repeat(where, width)
+        whole = out.tobytes().replace(b" ", self.space)
+        if self.prefix and (len(where) or not self.squeeze):
+            whole, where = self.space + whole, np.concatenate([np.full(len(self.space), head), where])
+        put = whole.decode()
         if self.squeeze:
-            while out.endswith(self.space):
-                del out[-len(self.space) :]
-                end = where[len(out)]
-                del where[len(out) :]
-        return out.decode(), np.array([*where, end], np.int64)
+            short = put.rstrip(self.space.decode())
+            if len(short) < len(put):
+                cut = len(whole) - (len(put) - len(short)) * len(self.space)
+                put, where, end = short, where[:cut], int(where[cut])
+        return put, np.append(where, end).astype(np.int64)
 
 
 class Pieces:
@@ -132,7 +155,7 @@ class Pieces:
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(blob)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=blob)
-        self.normalise = Normaliser(proto.normalizer_spec)
+        self.normalise = Normaliser(proto.normalizer_spec, [p.piece for p in proto.pieces if p.type == USER_PIECE])
         spec = proto.normalizer_spec
         spec.name, spec.precompiled_charsmap = "identity", b""
         spec.add_dummy_prefix = spec.remove_extra_whitespaces = spec.escape_whitespaces = False
@@ -156,7 +179,7 @@ class Pieces:
 
     def _ends(self, text: str) -> np.ndarray:
         """Ends of pieces where an unknown piece's width isn't the vocabulary's."""
-        pieces = self.segmenter.encode(text, out_type="immutable_proto").pieces
+        pieces = self.segmenter.encode(text, return_type="proto").pieces
         return np.array(list(accumulate(len(p.surface.encode()) for p in pieces)), np.int64)
 
     def decode(self, ids: list[list[int]]) -> list[str]:
@@ -173,8 +196,9 @@ def encode(documents: DataFrame, model: str, key: str = "doc_id", text: str = "t
 
     Returns key, n_tokens, ids_sha256, decoded_sha256, spans_crc32 (of the little-endian 32-bit byte
     ranges) and, with ``keep``, also ids and their starts and ends. A null text counts as empty, and an
-    empty one has the end id only. Rows with equal or null keys stay rows of their own. Columns beyond
-    the two are not read. No shuffle; memory is that of a few texts at a time.
+    empty one has the end id only; an empty table has no rows. Rows with equal or null keys stay rows of their own.
+    Columns beyond the two are not read, whatever their names. No shuffle. Texts may be of any length below 2 GB, and
+    memory is that of a few texts at a time: some fifty bytes for each byte of text, most of them the library's.
     """
     own_columns(documents, key, text)
     kind = documents.schema[key].dataType.simpleString()
