@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import own_columns, stored
 
 WORDS, K = 5, 128
-BUCKET_ROWS, CUTS = 4096, 256
+BUCKET_ROWS, CUTS, NEAR = 512, 256, 4096
 WHITE = "\t\n\x0b\x0c\r "
 
 
@@ -76,46 +76,70 @@ def with_sketch(df: DataFrame, text: str, name: str, n: int = WORDS, k: int = K)
     return df.withColumn(name, bottom(F.col(hashes), k)).drop(words, hashes)
 
 
-def _bucket(df: DataFrame, key: str) -> Column:
-    """A number that grows with ``key``, the same for some thousand neighbouring rows.
+def _ranges(df: DataFrame, key: str, tie: str) -> Column:
+    """A number that grows with (``key``, ``tie``), the same for some hundred neighbouring rows; null keys come first.
 
-    Between quantiles of the key, of which there are always as many, ranges are cut evenly.
+    Between quantiles of the key, of which there are always as many, ranges are cut evenly. A key that is several
+    quantiles, and the null key, have ranges of their own, cut evenly by the tie, a hash.
     """
-    rows, lows = df.agg(F.count(key), F.percentile_approx(key, [i / CUTS for i in range(CUTS + 1)], 100 * CUTS)).first()
+    rows, nulls, lows = df.agg(F.count(key), F.count_if(F.col(key).isNull()), F.percentile_approx(key, [i / CUTS for i in range(CUTS + 1)], 100 * CUTS)).first()
+    at_tie = lambda parts: F.least(F.floor((F.col(tie).cast("double") / 2.0**64 + 0.5) * parts).cast("bigint"), parts - 1)
+    blank = max(1, -(-nulls // BUCKET_ROWS))
     if not rows:
-        return F.lit(-1).cast("bigint")
-    lows = sorted(set(lows))
-    each = max(1, -(-rows // (len(lows) * BUCKET_ROWS)))
-    edges = F.array(*[F.lit(int(x)).cast("bigint") for x in lows])
-    at = F.greatest(F.size(F.filter(edges, lambda x: x <= F.col(key))), F.lit(1))
-    low, high = F.get(edges, at - 1), F.coalesce(F.get(edges, at), F.lit(lows[-1] + 1))
-    part = F.floor((F.col(key) - low) * each / (high - low))
-    inside = F.least(F.greatest(part, F.lit(0)), F.lit(each - 1))
-    return F.when(F.col(key).isNull(), F.lit(-1)).otherwise((at - 1) * each + inside).cast("bigint")
+        return at_tie(F.lit(blank).cast("bigint"))
+    edges = sorted(set(lows))
+    each = max(1, -(-rows // (len(edges) * BUCKET_ROWS)))
+    # Ranges of an edge's own key, if it is hot, and where they begin; those up to the next edge follow.
+    own = [-(-rows * lows.count(x) // (CUTS * BUCKET_ROWS)) if lows.count(x) > 1 else 0 for x in edges]
+    begins = [blank]
+    for n in own:
+        begins.append(begins[-1] + n + each)
+    longs = lambda values: F.array(*[F.lit(int(x)).cast("bigint") for x in values])
+    lows_ = longs(edges)
+    at = F.greatest(F.size(F.filter(lows_, lambda x: x <= F.col(key))), F.lit(1)) - 1
+    low, high = F.get(lows_, at), F.coalesce(F.get(lows_, at + 1), F.lit(edges[-1] + 1))
+    begin, hot = F.get(longs(begins), at), F.get(longs(own), at)
+    part = F.floor((F.col(key).cast("double") - low) * each / (high.cast("double") - low)).cast("bigint")
+    inside = F.least(F.greatest(part, F.lit(0).cast("bigint")), F.lit(each - 1).cast("bigint"))
+    number = F.when((hot > 0) & (F.col(key) == low), begin + at_tie(hot)).otherwise(begin + hot + inside)
+    return F.when(F.col(key).isNull(), at_tie(F.lit(blank).cast("bigint"))).otherwise(number)
+
+
+def _following(ranges: DataFrame) -> DataFrame:
+    """Each range with the next one that has rows (range, after), the first behind the last.
+
+    Neighbours are found among some thousand numbers at a time; only one row for each such group is compared with all.
+    """
+    rows = ranges.select("range", F.floor(F.col("range") / NEAR).alias("group"))
+    ahead = rows.groupBy("group").agg(F.min("range").alias("head"))
+    order = Window.orderBy("group")
+    ahead = ahead.select("group", F.coalesce(F.lead("head").over(order), F.first("head").over(order)).alias("ahead"))
+    near = rows.withColumn("after", F.lead("range").over(Window.partitionBy("group").orderBy("range")))
+    return near.join(ahead, "group").select("range", F.coalesce("after", "ahead").alias("after"))
 
 
 def edited_likeness(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, k: int = K) -> DataFrame:
     """Fingerprints of each text and of its edited text, and the likenesses of the two and of neighbours.
 
     In the edited text the last quarter of the code points (rounded down) gives way to the first as many
-    of the next document in ascending order of ``key`` (texts break ties, null keys come first, the first
-    document follows the last). A null text counts as empty. Whole texts are shuffled once, by ranges of
-    keys of about equal row counts; only the first row of each range is looked up by its neighbour.
-    Rows with null keys share a range. Columns beyond the two are not read.
+    of the next document in ascending order of ``key``, null keys first; of rows with one key, or none, in the order
+    of a hash of their texts. The first document follows the last, a single one itself. A null text counts as empty;
+    the fingerprints of texts without words are empty, and alike. An empty table has no rows. Whole texts are
+    shuffled once, by ranges of some hundred rows, of which a key with very many rows has several (but rows that
+    repeat a key and its text are in one); only the first row of each range is looked up by its neighbour. A text may
+    have any length below 2 GB: a task holds its words and the hashes of its shingles, some thirty times its bytes.
+    Columns beyond the two are not read.
     """
     own_columns(documents, key, text)
     rows = documents.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("own"))
-    rows = rows.withColumn("range", _bucket(rows, "id"))
-    first = rows.groupBy("range").agg(F.min(F.struct("id", "own")).alias("head"))
+    rows = rows.withColumn("tie", F.xxhash64("own"))
+    rows = rows.withColumn("range", _ranges(rows, "id", "tie"))
+    first = rows.groupBy("range").agg(F.min(F.struct("id", "tie", "own")).alias("head"))
     first = stored(first.select("range", F.col("head.own").alias("head")))
-    # One short row for each range, some thousandth part of the rows.
-    order = Window.orderBy("range")
-    after = F.coalesce(F.lead("range").over(order), F.first("range").over(order))
-    follows = first.select("range").withColumn("after", after)
-    heads = follows.join(first.withColumnRenamed("range", "after"), "after").select("range", "head")
+    heads = _following(first).join(first.withColumnRenamed("range", "after"), "after").select("range", "head")
     heads = with_sketch(heads, "head", "head_sketch", n, k)
 
-    near = Window.partitionBy("range").orderBy("id", "own")
+    near = Window.partitionBy("range").orderBy("id", "tie", "own")
     rows = with_sketch(rows.withColumn("next", F.lead("own").over(near)), "own", "sketch", n, k)
     rows = rows.withColumn("next_sketch", F.lead("sketch").over(near))
     rows = rows.join(heads, "range")
