@@ -105,18 +105,19 @@ def formatter(path: str) -> Formatter:
     return Formatter(path)
 
 
-def format_chats(turns: DataFrame, tokenizer: str, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row for each conversation: conv_id, formatted, ids, loss_mask and the digests of what reads back.
+def format_chats(turns: DataFrame, tokenizer: str, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", with_output: bool = True) -> DataFrame:
+    """One row for each conversation: conv_id, the digests of what reads back and, ``with_output``, formatted, ids and loss_mask.
 
-    Rows are ordered by turn (nulls first), ties by role and text; null roles and texts are empty; rows with
-    a null id form one conversation. Columns beyond the four are not read. Turns are shuffled once by
-    conversation and streamed in order: memory is that of one conversation.
+    Rows are ordered by turn (nulls first), ties by role and text, so repeated rows are turns of their own; null roles
+    and texts are empty; rows with a null id form one conversation; an empty table has none. Columns beyond the four
+    are not read. Turns are shuffled once by conversation and streamed in order: memory is that of one conversation,
+    which is rendered and encoded whole, some hundred times its bytes; that is why a conversation isn't split.
     """
     own_columns(turns, conv, turn, role, text)
     kind = turns.schema[conv].dataType.simpleString()
     schema = (
-        f"`{conv}` {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint,"
-        " formatted string, ids array<int>, loss_mask array<boolean>"
+        f"`{conv}` {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+        + ", formatted string, ids array<int>, loss_mask array<boolean>" * with_output
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +127,8 @@ def format_chats(turns: DataFrame, tokenizer: str, conv: str = "conv_id", turn:
             f = fmt(rows)
             back, loss = parse(f.text), "".join(masked_texts(f))
             said = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in back).encode()).hexdigest()
-            return key, len(back), said, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(f.text), f.text, f.ids, f.mask.tolist()
+            out = key, len(back), said, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(f.text)
+            return (*out, f.text, f.ids, f.mask.tolist()) if with_output else out
 
         def chats() -> Iterator[tuple]:
             key, rows = None, []
@@ -143,8 +145,8 @@ def format_chats(turns: DataFrame, tokenizer: str, conv: str = "conv_id", turn:
         def flush(rows: list[tuple]) -> pa.RecordBatch:
             types = [batch_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_())]
             names = [conv, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "formatted", "ids", "loss_mask"]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, names=names)
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=False)]
+            return pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
 
         held = []
         for row in chats():
