@@ -158,7 +158,12 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
 
 def scored(documents: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """key, held_out, score (0 to 1), predicted. A null text counts as empty; no other column is read. No shuffle."""
+    """key, held_out, score (0 to 1), predicted (1 from the threshold on).
+
+    A null text counts as empty, and an empty one has a score too; an empty table has no rows. Rows with equal or null
+    keys stay rows of their own; equal texts have equal scores. A text may have any length below 2 GB: a worker holds
+    some thirty times its bytes. No other column is read, whatever its name. No shuffle.
+    """
     own_columns(documents, key, text)
     kind = documents.schema[key].dataType.simpleString()
 
@@ -174,7 +179,10 @@ def scored(documents: DataFrame, machine: Machine, key: str = "doc_id", text: st
 
 
 def accepted(documents: DataFrame, machine: Machine, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents``, all columns, whose text scores at least ``threshold``."""
+    """The rows of ``documents``, all columns, whose text scores at least ``threshold``.
+
+    Null, empty, repeated and very long texts as in ``scored``; columns of any names are passed on.
+    """
     own_columns(documents, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
