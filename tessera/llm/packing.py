@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.shared import own_columns
 
-GROUP_ROWS = 2048
+GROUP_BYTES = 8 << 20
 
 
 class Tournament:
@@ -106,7 +106,8 @@ class ByteTokens:
     """Ids of a byte-level BPE file of the tokenizers library, special tokens not added.
 
     The merges are run by tiktoken, several times as fast, from the same vocabulary: in such a file the
-    ids are the merge ranks. A special token's text is that token, as in the library.
+    ids are the merge ranks. A special token's text is that token, as in the library. What its patterns can't
+    split (about a million blanks in a row) is encoded by the library itself.
     """
 
     def __init__(self, path: str):
@@ -114,6 +115,7 @@ class ByteTokens:
 
         import tiktoken
 
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         # The byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from U+0100 on.
@@ -126,7 +128,17 @@ class ByteTokens:
         self.coder = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
     def ids(self, text: str) -> np.ndarray:
-        return np.asarray(self.coder.encode_to_numpy(text, allowed_special="all"), "<u4")
+        try:
+            return np.asarray(self.coder.encode_to_numpy(text, allowed_special="all"), "<u4")
+        except ValueError:
+            return np.asarray(_library(self.path).encode(text, add_special_tokens=False).ids, "<u4")
+
+
+@lru_cache(maxsize=2)
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 @lru_cache(maxsize=2)
@@ -144,21 +156,25 @@ def pack_documents(
     end_id: int = 1,
     key: str = "doc_id",
     text: str = "text",
-    group_rows: int = GROUP_ROWS,
+    group_bytes: int = GROUP_BYTES,
     seed: int = 17,
     with_ids: bool = False,
 ) -> DataFrame:
     """Packs every document's ids and an end id into sequences of at most ``capacity`` ids.
 
-    One row per piece; with ``with_ids`` the ids follow. Groups are dealt by a seeded hash of key and
-    text, about ``group_rows`` rows each, so a group's size follows neither a hot source nor the
-    input's; a group's number is the upper half of its sequence ids. A null text counts as empty (the
-    end id only). Rows with equal or null keys are documents of their own. Columns beyond the two are
-    not read. The texts are shuffled once; ids are made where they are packed.
+    One row per piece; with ``with_ids`` the ids follow. Groups are dealt by a seeded hash of key, text and
+    place in the input, about ``group_bytes`` of text each, so a group's size follows neither a hot source, nor
+    very many equal rows, nor the input's size: a group is that many bytes and perhaps a very long text. The
+    input's rows must come in the same order when a lost task is run again, as those of stored tables do. A
+    group's number is the upper half of its sequence ids. A null or empty text is the end id only; an empty table
+    has no piece. Rows with equal or null keys are documents of their own, equal rows too. A text may have any
+    length below 2 GB; of a column named as one of the result's, only the key's and the text's are read. The texts
+    are shuffled once; ids are made where they are packed.
     """
     own_columns(documents, key, text)
     kind = documents.schema[key].dataType.simpleString()
-    groups = max(1, -(-documents.count() // group_rows))
+    size = documents.agg(F.sum(F.octet_length(text) + F.lit(1).cast("bigint"))).first()[0] or 0
+    groups = max(1, -(-size // group_bytes))
     schema = f"`{key}` {kind}, {PIECE_SCHEMA}" + ", ids array<bigint>" * with_ids
 
     def run(table: pa.Table) -> pa.Table:
@@ -180,5 +196,5 @@ def pack_documents(
         columns = list(zip(*out, strict=True))
         return pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=False)})
 
-    dealt = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text)), F.lit(groups))
+    dealt = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text), F.monotonically_increasing_id()), F.lit(groups))
     return documents.select(dealt.alias("group"), key, text).groupBy("group").applyInArrow(run, schema)
