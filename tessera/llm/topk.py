@@ -1,190 +1,267 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
-Candidates are grouped by length. A first pass over the longest ones gives each query a score that its
-k best reach. From it follows, for each bucket, the cosine that a candidate must reach; per bucket and
-query either candidates too short for it are skipped, or those whose partial product over the query's
-largest coordinates, with the rest bounded by Cauchy-Schwarz, can't get there. What is left is verified
-with exact integer products.
+Candidates are grouped by length, longest first. The longest few hundred, a fixed number, give each query a score
+that its k best reach; from it follows how short a candidate may be, so a query is sent only to the buckets of
+long enough ones. A bucket stays where it is, packed, and its queries stream past it. There the score wanted and the
+bucket's greatest length give the cosine that a candidate must reach; from that either candidates too short for the
+query are left out, or those whose partial product over the bucket's strongest coordinates, the rest bounded
+by Cauchy-Schwarz, can't get there. What is left is verified with exact integer products.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import drop_stored, own_columns, stored
+from tessera.llm.shared import own_columns
 
-BUCKET, BLOCK, CUTS, FOCUS = 2048, 512, 64, 16
-EXACT = float(2**53)
+#: Rows of a bucket: at least, at most (for memory), and buckets wanted between.
+BUCKET, BUCKET_MOST, BUCKETS = 2048, 1 << 17, 4096
+CUTS, SEEDS, FOCUS = 64, 512, 16
+#: Scores that are held at once, eight bytes each.
+CELLS = 1 << 22
+EXACT, LONG = 2.0**53, 2**63 - 1
 
 
 def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """Valid vectors as ``floor(256 * x)``; null ones and those with null or non-finite components go."""
+    """Ids, valid vectors (as doubles) and the lengths of their quantised form; null ones and those with null or non-finite components go."""
     x = F.transform(vector, lambda v: v.cast("double"))
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     rows = vectors.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("vec_id"), x.alias("x"), bad.alias("bad"))
-    return rows.where(~F.col("bad")).select("vec_id", F.transform("x", lambda v: F.floor(v * 256)).alias("v"))
+    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + F.pow(F.when(F.abs(v) < 2.0**44, F.floor(v * 256).cast("double")).otherwise(v * 256), 2.0)))
+    return rows.where(~F.col("bad")).select("vec_id", "x", F.least(norm, F.lit(1e300)).alias("norm"))
 
 
-PACKED = "bucket bigint, ids array<bigint>, matrix binary, width int, dim int, length double"
-ARROW = [("bucket", pa.int64()), ("ids", pa.list_(pa.int64())), ("matrix", pa.binary()), ("width", pa.int32()), ("dim", pa.int32()), ("length", pa.float64())]
+def _matrix(rows: list[list[float]]) -> np.ndarray:
+    """``floor(256 * x)`` of each component, shorter rows filled up with zeros: as doubles where those are exact, else as Python's integers."""
+    dim = max(map(len, rows), default=0)
+    x = np.array([[*r, *[0.0] * (dim - len(r))] for r in rows], float).reshape(len(rows), dim)
+    if np.abs(x).max(initial=0) < 2.0**44:
+        return np.floor(256 * x)
+    whole = [[256 * int(v) if abs(v) >= 2.0**44 else math.floor(256 * v) for v in r] for r in x.tolist()]
+    return np.array(whole, object).reshape(x.shape)
 
 
-def _packed(vectors: DataFrame, bucket: Column) -> DataFrame:
-    """One row for each bucket: ids, and vectors as little-endian integers of ``width`` bytes, shorter ones filled up with zeros."""
+def _pack(m: np.ndarray) -> tuple[bytes, int]:
+    """Bytes of a matrix, and of each component; 0 for numbers of any size."""
+    if m.dtype == object:
+        return ",".join(map(str, m.flat)).encode(), 0
+    most = np.abs(m).max(initial=0)
+    width = next(w for w in (2, 4, 8) if w == 8 or most < 2.0 ** (8 * w - 1))
+    return m.astype(f"<i{width}").tobytes(), width
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.column("v").to_pylist()
-        dim = max(map(len, rows))
-        matrix = np.array([r + [0] * (dim - len(r)) for r in rows], "<i8").reshape(len(rows), dim)
-        length = float(np.sqrt((matrix.astype(float) ** 2).sum(axis=1)).max(initial=0))
-        width = next(w for w in (2, 4, 8) if w == 8 or np.abs(matrix.astype(float)).max(initial=0) < 2.0 ** (8 * w - 1))
-        head = {"bucket": [table.column("bucket")[0].as_py()], "ids": [table.column("vec_id").to_pylist()]}
-        body = {"matrix": [matrix.astype(f"<i{width}").tobytes()], "width": [width], "dim": [dim], "length": [length]}
-        return pa.table(head | body, schema=pa.schema(ARROW))
 
-    return vectors.withColumn("bucket", bucket).select("bucket", "vec_id", "v").groupBy("bucket").applyInArrow(run, PACKED)
+def _unpack(data: bytes, width: int, dim: int, rows: int) -> np.ndarray:
+    if not width:
+        return np.array([int(x) for x in data.split(b",")], object).reshape(rows, dim)
+    return np.frombuffer(data, f"<i{width}").astype(float).reshape(rows, dim)
+
 
+def _real(m: np.ndarray) -> np.ndarray:
+    """A matrix as doubles, numbers too large as infinity."""
+    return m if m.dtype != object else np.array([float(x) if abs(x) < 1 << 1000 else math.copysign(math.inf, x) for x in m.flat]).reshape(m.shape)
 
-def _matrix(packed: bytes, width: int, dim: int, rows: int) -> np.ndarray:
-    return np.frombuffer(packed, f"<i{width}").astype(np.int64).reshape(-1, dim) if dim else np.zeros((rows, 0), np.int64)
+
+def _lengths(m: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.sqrt((_real(m) ** 2).sum(axis=1))
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products of all rows; by floating point where every partial sum stays below 2^53."""
-    if a.shape[1] * float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) < EXACT:
-        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    out = a.astype(object) @ b.astype(object).T
-    if out.size and max(map(abs, out.flat)) >= 2**63:
-        raise OverflowError("a score doesn't fit 64 bits")
-    return out.astype(np.int64)
-
-
-def _plausible(q: np.ndarray, lq: float, p: np.ndarray, lp: np.ndarray, floor: float, longest: float) -> np.ndarray:
-    """Rows of ``p`` whose product with ``q`` may reach ``floor``."""
-    every = np.arange(len(p))
-    if not np.isfinite(floor) or floor <= 0 or lq == 0:
-        return every
-    slack = 1e-9 * lq * longest + 1e-6
-    long_enough = np.flatnonzero(lp * lq >= floor - slack)
-    cosine = floor / (lq * longest)
-    # Length tells vectors apart where the bucket's spread of lengths is wider than the cosine's leeway.
-    if len(long_enough) < 0.5 * len(p) or cosine < 0.3 or q.shape[0] <= FOCUS:
-        return long_enough
-    at = np.argsort(-np.abs(q))[:FOCUS]
-    part = p[np.ix_(long_enough, at)]
-    rest_q = np.sqrt(max(0.0, lq * lq - float((q[at] ** 2).sum())))
-    rest_p = np.sqrt(np.maximum(0.0, lp[long_enough] ** 2 - (part**2).sum(axis=1)))
-    return long_enough[part @ q[at] + rest_q * rest_p >= floor - slack]
-
-
-def _search(k: int):
-    """Best k of one bucket for each query of one block; ``floors`` may be empty (nothing known yet)."""
-
-    def run(batches):
+    """Integer products of all rows, at the border of 64 bits where they lie beyond; by doubles where every partial sum stays below 2^53."""
+    dim = min(a.shape[1], b.shape[1])  # beyond it the shorter one is zero
+    a, b = a[:, :dim], b[:, :dim]
+    if object not in (a.dtype, b.dtype) and dim * np.abs(a).max(initial=0) * np.abs(b).max(initial=0) < EXACT:
+        return (a @ b.T).astype(np.int64)
+    whole = [[int(x) for x in r] for r in b.tolist()]
+    out = [[max(-LONG - 1, min(LONG, sum(int(x) * y for x, y in zip(r, w, strict=True)))) for w in whole] for r in a.tolist()]
+    return np.array(out, np.int64).reshape(len(a), len(b))
+
+
+def _best(scores: np.ndarray, open_: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the k best open scores of each row, ties to smaller ids."""
+    if k < scores.shape[1]:
+        low = np.where(open_, np.maximum(scores, -LONG), -LONG)
+        open_ = open_ & (np.maximum(scores, -LONG) >= -np.partition(-low, k - 1, axis=1)[:, k - 1 : k])
+    at, of = np.nonzero(open_)
+    order = np.lexsort((ids[of], ~scores[at, of], at))
+    at, of = at[order], of[order]
+    start = np.searchsorted(at, at)
+    first = np.arange(len(at)) - start < k
+    return at[first], of[first]
+
+
+class Bucket:
+    """Candidates of similar length, ready to meet queries."""
+
+    def __init__(self, ids: np.ndarray, m: np.ndarray):
+        self.ids, self.m = ids, m
+        self.length = _lengths(m)
+        self.longest = float(self.length.max(initial=0))
+        order = np.argsort(-(_real(m) ** 2).sum(axis=0))[: min(FOCUS, m.shape[1])] if m.dtype != object else np.zeros(0, np.int64)
+        self.focus = np.sort(order)
+        part = m[:, self.focus] if len(self.focus) else np.zeros((len(m), 0))
+        self.part = part
+        self.rest = np.sqrt(np.maximum(0, self.length**2 - (part**2).sum(axis=1))) if len(self.focus) else self.length
+
+    def open(self, q: np.ndarray, length: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        """Which candidates may reach the floor of which query; a floor that isn't positive leaves all."""
+        out = np.ones((len(q), len(self.ids)), bool)
+        with np.errstate(invalid="ignore", over="ignore"):
+            slack = 1e-9 * length * self.longest + 1e-6
+        bound = (floor > 0) & np.isfinite(floor) & (length > 0) & np.isfinite(slack)
+        if not bound.any():
+            return out
+        least = np.where(bound, (floor - slack) / np.where(length > 0, length, 1), -np.inf)
+        long_enough = self.length[None, :] >= least[:, None]
+        cosine = np.where(bound, floor / np.maximum(length * self.longest, 1e-300), 0)
+        # Length tells candidates apart where the bucket's spread of lengths is wider than the cosine's leeway.
+        by_length = ~bound | (long_enough.mean(axis=1) < 0.5) | (cosine < 0.2)
+        out = long_enough
+        rest = np.flatnonzero(~by_length)
+        if len(rest) and len(self.focus) and self.focus[-1] < q.shape[1] and q.dtype != object:
+            part = q[np.ix_(rest, self.focus)]
+            rest_q = np.sqrt(np.maximum(0, length[rest] ** 2 - (part**2).sum(axis=1)))
+            out[rest] &= part @ self.part.T + rest_q[:, None] * self.rest >= (floor - slack)[rest, None]
+        return out
+
+    def search(self, qi: np.ndarray, q: np.ndarray, length: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query ids, candidate ids and scores of each query's k best, of those that reach its floor."""
+        open_ = self.open(q, length, floor) & (self.ids != qi[:, None])
+        rows, columns = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+        scores = _products(q[rows], self.m[columns])
+        open_ = open_[np.ix_(rows, columns)] & (scores >= np.where(np.isfinite(floor[rows]), floor[rows], -np.inf)[:, None])
+        at, of = _best(scores, open_, self.ids[columns], k)
+        return qi[rows][at], self.ids[columns][of], scores[at, of]
+
+
+_ROW = "bucket bigint, kind int, ids array<bigint>, data binary, width int, dim int, length double, floor double"
+_FIELDS = pa.schema(
+    [("bucket", pa.int64()), ("kind", pa.int32()), ("ids", pa.list_(pa.int64())), ("data", pa.binary()), ("width", pa.int32()), ("dim", pa.int32()), ("length", pa.float64()), ("floor", pa.float64())]
+)
+
+
+def _asked(queries: DataFrame, seeds: tuple[np.ndarray, np.ndarray], k: int) -> DataFrame:
+    """A packed row for each query, with the score that k seeds reach (null if they are fewer)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, m = seeds
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                qi, pi = np.array(r["q_ids"], np.int64), np.array(r["ids"], np.int64)
-                q = _matrix(r["q_matrix"], r["q_width"], r["q_dim"], len(qi))
-                p = _matrix(r["matrix"], r["width"], r["dim"], len(pi))
-                dim = min(q.shape[1], p.shape[1])  # beyond it the shorter one is zero
-                fq, fp = q.astype(float), p.astype(float)
-                lq, lp = np.sqrt((fq**2).sum(axis=1)), np.sqrt((fp**2).sum(axis=1))
-                floors = np.frombuffer(r["floors"] or b"", "<f8")
-                known = len(floors) == len(qi)
-                cut_q, cut_p = q[:, :dim], p[:, :dim]
-                for i in range(len(qi)):
-                    near = _plausible(fq[i, :dim], lq[i], fp[:, :dim], lp, floors[i] if known else -np.inf, r["length"])
-                    near = near[pi[near] != qi[i]]
-                    if not len(near):
-                        continue
-                    scores = _products(cut_q[i : i + 1], cut_p[near])[0]
-                    best = np.lexsort((pi[near], -scores))[:k]
-                    out += [(int(qi[i]), int(pi[near[b]]), int(scores[b])) for b in best]
-            columns = list(zip(*out, strict=True)) or [[], [], []]
-            yield pa.RecordBatch.from_pydict({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns, strict=True)})
-
-    return run
-
-
-def _meet(pairs: DataFrame, blocks: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
-    named = blocks.select(F.col("bucket").alias("block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.col("width").alias("q_width"), F.col("dim").alias("q_dim"), "floors")
-    both = pairs.join(named, "block").join(buckets, "bucket")
-    return both.select("q_ids", "q_matrix", "q_width", "q_dim", "floors", "ids", "matrix", "width", "dim", "length").mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
-
-
-def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            for qi, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                q = _matrix([x])
+                scores = np.sort(_products(q, m)[0][ids != qi])
+                data, width = _pack(q)
+                out.append((None, 1, [qi], data, width, q.shape[1], float(_lengths(q)[0]), float(scores[-k]) if len(scores) >= k else None))
+            columns = list(zip(*out, strict=True)) or [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FIELDS, strict=True)], schema=_FIELDS)
+
+    return queries.select("vec_id", "x").mapInArrow(run, _ROW)
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """One row for each bucket."""
+
+    def run(table: pa.Table) -> pa.Table:
+        m = _matrix(table.column("x").to_pylist())
+        data, width = _pack(m)
+        row = {"bucket": table.column("bucket")[0].as_py(), "kind": 0, "ids": table.column("vec_id").to_pylist(), "data": data, "width": width, "dim": m.shape[1]}
+        return pa.Table.from_pylist([row | {"length": None, "floor": None}], schema=_FIELDS)
+
+    return rows.select("bucket", "vec_id", "x").groupBy("bucket").applyInArrow(run, _ROW)
+
+
+def _met(rows: DataFrame, k: int) -> DataFrame:
+    """Streams of buckets, each followed by its queries, to query_id, vec_id, score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, bucket = None, None
+        for batch in batches:
+            held: list[dict] = []
+            for i in range(batch.num_rows):
+                if batch.column(0)[i].as_py() != at or not batch.column(1)[i].as_py():
+                    yield from answers(bucket, held)
+                    held, at, bucket = [], batch.column(0)[i].as_py(), None
+                row = {n: batch.column(c)[i].as_py() for c, n in enumerate(batch.schema.names)}
+                if not row["kind"]:
+                    bucket = Bucket(np.array(row["ids"], np.int64), _unpack(row["data"], row["width"], row["dim"], len(row["ids"])))
+                elif bucket is not None:
+                    held.append(row)
+            yield from answers(bucket, held)
+
+    def answers(bucket: Bucket | None, held: list[dict]) -> Iterator[pa.RecordBatch]:
+        step = max(1, CELLS // len(bucket.ids)) if held else 1
+        kinds: dict[tuple, list[dict]] = {}
+        for r in held:
+            kinds.setdefault((r["dim"], not r["width"]), []).append(r)
+        for alike in kinds.values():
+            for lo in range(0, len(alike), step):
+                some = alike[lo : lo + step]
+                q = np.concatenate([_unpack(r["data"], r["width"], r["dim"], 1) for r in some])
+                floor = np.array([-np.inf if r["floor"] is None else r["floor"] for r in some])
+                found = bucket.search(np.array([r["ids"][0] for r in some], np.int64), q, np.array([r["length"] for r in some]), floor, k)
+                yield pa.RecordBatch.from_pydict({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), found, strict=True)})
+
+    return rows.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+
+
+def _grouped(rows: DataFrame, count: int) -> tuple[Column, list[float], list[int]]:
+    """Each row's bucket; the lengths at which ranges of buckets end; each range's first bucket, and the number of buckets.
+
+    Ranges are numbered from the longest on. A range of very many rows, equal lengths perhaps, has as many
+    buckets as it needs, and rows are dealt over them by their place in the input.
+    """
+    (found,) = rows.agg(F.percentile_approx("norm", [i / CUTS for i in range(1, CUTS)], 64 * CUTS)).first()
+    size = min(BUCKET_MOST, max(BUCKET, -(-count // BUCKETS)))
+    wide = max(1, round(CUTS * size / count))
+    cuts = sorted(set(found[wide - 1 :: wide]))
+    number = sum(((F.col("norm") < F.lit(c)).cast("int") for c in cuts), F.lit(0))
+    counts = {r[0]: r[1] for r in rows.groupBy(number.alias("range")).count().collect()}  # CUTS rows at most
+    firsts = [0]
+    for r in range(len(cuts) + 1):
+        firsts.append(firsts[-1] + max(1, -(-counts.get(r, 0) // size)))
+    start = F.array(*[F.lit(x).cast("bigint") for x in firsts])
+    parts = F.get(start, number + 1) - F.get(start, number)
+    return F.get(start, number) + F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), parts), cuts, firsts
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k candidates of highest integer product with each query: query_id, rank, vec_id, score.
 
-    Components x count as ``floor(256 * x)``. Ties go to the smaller id. Candidates with the query's own id
-    don't take part, nor does a vector that is null, has no id, or holds null or non-finite components; of
-    two vectors of different size the shorter is filled up with zeros. Repeated candidate rows count once
-    each; of queries with one id the smallest vector is asked. A query with no candidate has no row. Columns beyond the two are not read.
+    Components x, any finite ones, count as ``floor(256 * x)``; a product that 64 bits can't hold counts as the
+    nearest number they can. Ties go to the smaller id. Candidates with the query's own id don't take part, nor does a
+    vector that is null, has no id, or holds null or non-finite components; of two vectors of different size the
+    shorter is filled up with zeros. Repeated candidate rows count once each, and are dealt over buckets like others;
+    of queries with one id the smallest vector is asked. A query with no candidate has no row, nor has an empty
+    table. Columns beyond the two are not read.
 
-    Queries are a stated set and meet all candidates in blocks: blocks of some hundred queries with
-    buckets of some thousand candidates, pairs that can't reach a block's lowest floor left out.
+    Candidates are shuffled twice, once as rows and once packed, never for each query; a query goes to the buckets that may hold one of its k.
     """
     own_columns(candidates, key, vector)
     own_columns(queries, key, vector)
     spark = candidates.sparkSession
     rows = quantised(candidates, key, vector)
-    rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)))
-    count, cuts = rows.agg(F.count("*"), F.percentile_approx("norm", [i / CUTS for i in range(1, CUTS)], 64 * CUTS)).first()
-    asked = quantised(queries, key, vector).groupBy("vec_id").agg(F.min("v").alias("v"))
-    n = asked.count()
-    if not count or not n:
+    count = rows.count()
+    longest = rows.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).select("vec_id", "x").collect()  # SEEDS rows, a fixed number
+    if not count:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    # Longest first: equal lengths may meet in one range of lengths, which is why it is cut further by a hash.
-    wide = max(1, round(CUTS * BUCKET / count))
-    cuts = sorted(set(cuts[wide - 1 :: wide]))
-    above = sum(((F.col("norm") < F.lit(c)).cast("int") for c in cuts), F.lit(0))
-    parts = max(1, -(-count // (BUCKET * (len(cuts) + 1))))
-    bucket = above * parts + F.pmod(F.xxhash64("vec_id"), F.lit(parts))
-    buckets = stored(_packed(rows, bucket.cast("bigint")))
-    blocks = _packed(asked, F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(max(1, -(-n // BLOCK)))))
-    blocks = stored(blocks.withColumn("floors", F.lit(None).cast("binary")))
-
-    heads = buckets.select("bucket", F.col("length").alias("top"))
-    longest = heads.orderBy(F.desc("top"), "bucket").first()["bucket"]
-    # Stored, so that the planner sees a join by bucket and not a product with one bucket.
-    ids = stored(blocks.select(F.col("bucket").alias("block"), F.lit(longest).alias("bucket")))
-    first = _best(_meet(ids, blocks, buckets, k), k)
-    floors = first.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score").cast("double")).alias("floor"))
-    known = stored(_with_floors(blocks, floors))
-    drop_stored(blocks)
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((len(cuts) + 1) * parts - 1).cast("bigint")))
-    pairs = known.select(F.col("bucket").alias("block"), "reach", every.alias("bucket")).join(heads, "bucket")
-    pairs = pairs.where((F.col("reach").isNull()) | (F.col("top") >= F.col("reach") - 1e-6)).select("block", "bucket")
-    result = _best(_meet(pairs, known, buckets, k), k)
-    return result.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-
-
-def _with_floors(blocks: DataFrame, floors: DataFrame) -> DataFrame:
-    """Blocks with each query's floor, and the shortest candidate length that any query can use (null: any)."""
-    each = floors.select("query_id", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
-    asked = blocks.select("bucket", F.explode("ids").alias("query_id"))
-    met = asked.join(each, "query_id").groupBy("bucket").agg(F.collect_list(F.struct("query_id", "floor")).alias("known"))
-
-    def run(batches):
-        for batch in batches:
-            rows = batch.to_pylist()
-            for r in rows:
-                ids = r["ids"]
-                known = {x["query_id"]: x["floor"] for x in r.pop("known") or []}
-                floors = np.array([known.get(i, -np.inf) for i in ids], "<f8")
-                lengths = np.sqrt((_matrix(r["matrix"], r["width"], r["dim"], len(ids)).astype(float) ** 2).sum(axis=1))
-                free = (~np.isfinite(floors)) | (floors <= 0) | (lengths == 0)
-                r["floors"] = floors.tobytes()
-                r["reach"] = None if free.any() else float((floors / np.maximum(lengths, 1e-300)).min()) * (1 - 1e-9)
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([*ARROW, ("floors", pa.binary()), ("reach", pa.float64())]))
-
-    return blocks.drop("floors").join(met, "bucket", "left").mapInArrow(run, f"{PACKED}, floors binary, reach double")
-
+    seeds = np.array([r["vec_id"] for r in longest], np.int64), _matrix([r["x"] for r in longest])
+    asked = _asked(quantised(queries, key, vector).groupBy("vec_id").agg(F.min("x").alias("x")), seeds, k)
+    bucket, cuts, firsts = _grouped(rows, count)
+    # Candidates of a range are shorter than the cut that it ends at.
+    want = F.col("floor") * (1 - 1e-9) - 1e-6
+    ranges = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda c: c * F.col("length") >= want))
+    ranges = F.when(F.col("floor").isNull() | (F.col("floor") <= 0), F.lit(len(cuts))).otherwise(ranges)
+    last = F.get(F.array(*[F.lit(x).cast("bigint") for x in firsts]), ranges + 1) - 1
+    sent = asked.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    both = _packed(rows.withColumn("bucket", bucket.cast("bigint"))).unionByName(sent)
+    streams = both.repartition(min(firsts[-1], 1 << 16), "bucket").sortWithinPartitions("bucket", "kind")
+    found = _met(streams, k)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
