@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import lru_cache
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
-
-from tessera.session import ship
+from tessera.session import shared_place, ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,26 +14,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="tessera-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors see.
 
-    ``spark.checkpoint.dir`` names the place on a cluster; only where it is unset (tests on one
-    machine) a temporary folder of this process stands in.
+    ``spark.checkpoint.dir`` names the place. Where it is unset, a temporary folder of this process stands in on
+    a local master; on a cluster that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
+    return shared_place(spark)
+
 
+_COMPACT = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, lineage cut, safe from lost executors."""
-    at = shared_folder(df.sparkSession)
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+def stored(df: DataFrame, compact: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, lineage cut, safe from lost executors.
+
+    ``compact`` is for narrow rows: tasks take the advised size, however few they are, instead of one for each core.
+    """
+    spark, at = df.sparkSession, shared_folder(df.sparkSession)
+    before = spark.conf.get(_COMPACT, "true")
+    try:
+        if compact:
+            spark.conf.set(_COMPACT, "false")
+        df.write.parquet(at)
+    finally:
+        spark.conf.set(_COMPACT, before)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def text_tag(text: str) -> Column:
+    """CRC-32 of a text, as an int: tells texts that share an id apart."""
+    return (F.crc32(F.col(text).cast("binary")) - F.lit(1 << 31)).cast("int")
 
 
 def drop_stored(df: DataFrame) -> None:

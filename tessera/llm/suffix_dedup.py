@@ -1,18 +1,21 @@
 """Repeated passages by a sparse suffix array.
 
 Suffixes are retained only where a run of ``lead`` words is the smallest, by hash, of a window of runs; any
-two equal passages of ``least`` words contain a retained suffix at the same place. The retained suffixes are
-sorted by their leading words and neighbours compared. Around suffixes that share their lead with a neighbour,
-matches are extended left and right: every run of ``least`` words there is sorted and compared with its
-neighbour in turn, and equal runs that overlap are joined to maximal passages.
-
-Both sorts are by range over (hash, document, place), so a passage with any number of occurrences is dealt
-over as many tasks as its rows need. Texts that are equal as a whole are one text.
+two equal passages of ``least`` words contain a retained suffix at the same place. Retained suffixes are sorted
+by their lead and then by their context, which is all that such a passage can reach left and right of them, and
+neighbours are compared. Neighbours of equal context match over the whole of it: the match is extended left and
+right in one step. Where one lead stands in unlike contexts, the first suffix of each context is extended word by
+word: every run of ``least`` words around it is sorted and compared with its neighbour in turn. Matches that
+overlap are joined to maximal passages.
+
+Leads with contexts, and runs, are compared by 128 bits of two hashes over all their words. Both sorts are by
+range down to (document, place), so a passage with any number of occurrences is dealt over as many tasks as its
+rows need; what crosses the border of two tasks is settled by a join. Nothing is sent to the driver.
 """
 
 from __future__ import annotations
 
-import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,247 +23,276 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import drop_stored, own_columns, stored
-from tessera.llm.text import chunks, long_rolling, rolling
+from tessera.llm.shared import drop_stored, own_columns, stored, text_tag
+from tessera.llm.text import chunks, rolling, stretch
 
 LEAST, LEAD = 50, 16
+SLICE = 1 << 18
+_SALT = 0x5851F42D4C957F2D
+_PLACE = np.uint64(20)
+_LOW = np.uint64((1 << 20) - 1)
+
+
+def retained(runs: np.ndarray, window: int, starts: np.ndarray | None = None) -> np.ndarray:
+    """Places of the leftmost minimum, by the upper bits of the hashes, of windows of ``window`` runs: of all, or those at ``starts`` (ascending)."""
+    n, found = len(runs) - window + 1, []
+    starts = np.arange(max(n, 0)) if starts is None else starts
+    for lo in range(0, max(n, 0), SLICE):
+        some = starts[np.searchsorted(starts, lo) : np.searchsorted(starts, lo + SLICE)] - lo
+        # A hash's lower bits give way to its place. The minimum of a window is that of two shorter ones that cover it.
+        least = (runs[lo : lo + SLICE + window - 1] >> _PLACE << _PLACE) | np.arange(min(SLICE + window - 1, len(runs) - lo), dtype=np.uint64)
+        size = 1
+        while 2 * size <= window:
+            least, size = np.minimum(least[:-size], least[size:]), 2 * size
+        least = np.minimum(least[: len(least) - (window - size)], least[window - size :])
+        found.append(np.unique(least[some] & _LOW).astype(np.int64) + lo)
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def _batch(columns: list, names: str, types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names.split())
 
 
-def retained(runs: np.ndarray, window: int) -> np.ndarray:
-    """Places of the leftmost minimum of every window of ``window`` run hashes."""
-    if len(runs) < window:
-        return np.zeros(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(runs, window)
-    return np.unique(view.argmin(axis=1) + np.arange(len(view)))
+_WIDE, _NARROW = pa.int64(), pa.int32()
 
 
 def _suffixes(documents: DataFrame, key: str, text: str, least: int, lead: int) -> DataFrame:
-    """Of each text of ``least`` words or more: id, name (128 bits for the text), bytes, words, and its suffixes' leads and places."""
+    """Retained suffixes: lead, context, id, tag, place (in words), and the context's first byte and width in bytes."""
+    names, types = "lead context id tag place byte width", [_WIDE] * 3 + [_NARROW] * 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, _, found in chunks(batch.column(1)):
-                rows = []
-                for i in range(len(found)):
-                    a, b = found.offsets[i : i + 2].tolist()
-                    if b - a < least or not batch.column(0)[lo + i].is_valid:
-                        continue
-                    runs = rolling(found.hashes[a:b], lead)
-                    at = retained(runs, least - lead + 1)
-                    raw = found.data[found.bounds[i] : found.bounds[i + 1]].tobytes()
-                    name = hashlib.blake2b(raw, digest_size=16).digest()
-                    rows.append((batch.column(0)[lo + i].as_py(), name, len(raw), b - a, runs[at].astype(np.int64), at.astype(np.int32)))
-                columns = list(zip(*rows, strict=True)) or [[]] * 6
-                types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                names = ["id", "name", "bytes", "words", "leads", "places"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-    schema = "id bigint, name binary, bytes bigint, words bigint, leads array<bigint>, places array<int>"
-    return documents.select(F.col(key).cast("bigint").alias("id"), text).mapInArrow(run, schema)
-
-
-def _ranged(rows: DataFrame) -> DataFrame:
-    order = ["hash", "id", "place"]
+            for lo, hi, found in chunks(batch.column(1)):
+                # All words of some texts in a row; no window and no context crosses a text's border.
+                ends = np.repeat(found.offsets[1:], np.diff(found.offsets))
+                runs = rolling(found.hashes, lead)
+                at = retained(runs, least - lead + 1, np.flatnonzero(np.arange(len(ends)) + least <= ends))
+                of = np.searchsorted(found.offsets, at, side="right") - 1
+                of_known = batch.column(0).slice(lo, hi - lo).is_valid().to_numpy(zero_copy_only=False)[of]
+                at, of = at[of_known], of[of_known]
+                start, end = np.maximum(at - (least - lead), found.offsets[of]), np.minimum(at + least, found.offsets[of + 1])
+                # A context that a text's border cuts is equal only to one cut alike.
+                context = stretch(found.hashes, start, end, _SALT) + (at - start).astype(np.uint64)
+                bounds = found.bounds[of]
+                byte, width = found.starts[start] - bounds, found.ends[end - 1] - found.starts[start]
+                tags = np.zeros(len(found), np.int64)
+                for i in np.unique(of).tolist():
+                    tags[i] = zlib.crc32(found.data[found.bounds[i] : found.bounds[i + 1]]) - (1 << 31)
+                ids = batch.column(0).slice(lo, hi - lo).fill_null(0).to_numpy()
+                for k in range(0, len(at), SLICE):
+                    part = slice(k, k + SLICE)
+                    columns = [runs[at].astype(np.int64), context.astype(np.int64), ids[of], tags[of], at - found.offsets[of], byte, width]
+                    yield _batch([c[part] for c in columns], names, types)
+
+    rows = documents.select(F.col(key).cast("bigint").alias("id"), text)
+    return rows.mapInArrow(run, "lead bigint, context bigint, id bigint, tag int, place int, byte int, width int")
+
+
+def _ranged(rows: DataFrame, *order: str) -> DataFrame:
     return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def _matched(suffixes: DataFrame) -> DataFrame:
-    """Suffixes (id, place) with a neighbour of equal lead. The first and last of a task count as such unseen."""
+def _neighbours(suffixes: DataFrame) -> DataFrame:
+    """Matches (id, tag, byte, width, like) of neighbours of equal context, and suffixes (id, tag, place; no width) to be extended by words.
+
+    The latter are the first ones of each context whose lead stands in others too. What the task before or after
+    holds isn't seen, so a task's first row and last context always are among them.
+    """
+    order = ["lead", "context", "id", "tag", "place"]
+    names, types = "id tag place byte width like", [_WIDE, _NARROW, _NARROW, _NARROW, _NARROW, _WIDE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last = held = None  # the last row; the first row of its context and whether its lead is known to stand in others
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lead, id_, place = (c.to_numpy() for c in batch.columns)
+            now = [c.to_numpy() for c in batch.columns]
             if last is not None:
-                lead, id_, place = (np.concatenate([[x], c]) for x, c in zip(last, (lead, id_, place), strict=True))
-            same = lead[1:] == lead[:-1]
-            keep = np.append(last is None, same) | np.append(same, False)
-            yield pa.RecordBatch.from_pydict({"id": id_[keep], "place": place[keep].astype(np.int32)})
-            last = lead[-1], id_[-1], place[-1]
-        if last is not None:
-            yield pa.RecordBatch.from_pydict({"id": pa.array([last[1]]), "place": pa.array([last[2]], pa.int32())})
+                now = [np.concatenate([x, c]) for x, c in zip(last, now, strict=True)]
+            same_lead = now[0][1:] == now[0][:-1]
+            same = same_lead & (now[1][1:] == now[1][:-1])
+            repeat = same & ((now[2][1:] != now[2][:-1]) | (now[3][1:] != now[3][:-1]) | (now[4][1:] != now[4][:-1]))
+            at = np.flatnonzero(repeat) + 1
+            yield _batch([now[2][at], now[3][at], now[4][at], now[5][at], now[6][at], now[2][at - 1]], names, types)
+            at = np.flatnonzero(~same) + 1
+            heads, known = [c[at] for c in now], same_lead[at - 1]
+            if held is None:
+                heads, known = [np.concatenate([c[:1], x]) for c, x in zip(now, heads, strict=True)], np.append(True, known)
+            else:
+                heads, known = [np.concatenate([c, x]) for c, x in zip(held[0], heads, strict=True)], np.append(held[1], known)
+            known[:-1] |= known[1:] & (heads[0][1:] == heads[0][:-1])
+            yield extend([c[:-1][known[:-1]] for c in heads])
+            held, last = ([c[-1:] for c in heads], known[-1]), [c[-1:] for c in now]
+        if held is not None:
+            yield extend(held[0])
 
-    return _ranged(suffixes).select("hash", "id", "place").mapInArrow(run, "id bigint, place int")
+    def extend(rows: list[np.ndarray]) -> pa.RecordBatch:
+        none = pa.nulls(len(rows[0]))
+        return _batch([rows[2], rows[3], rows[4], none, none, none], names, types)
 
+    sorted_ = _ranged(suffixes, *order).select(*order, "byte", "width")
+    return sorted_.mapInArrow(run, "id bigint, tag int, place int, byte int, width int, like bigint")
 
-def _extended(documents: DataFrame, matched: DataFrame, key: str, text: str, least: int, lead: int) -> DataFrame:
-    """Every run of ``least`` words around matched suffixes: hash, id, place, first byte, width in bytes."""
+
+def _runs(documents: DataFrame, places: DataFrame, key: str, text: str, least: int, lead: int) -> DataFrame:
+    """Every run of ``least`` words around the suffixes of ``places`` (id, tag, places): two hashes, id, tag, place, first byte, width in bytes."""
+    names, types = "hash check id tag place byte width", [_WIDE] * 3 + [_NARROW] * 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, _, found in chunks(batch.column(1)):
-                out = []
-                for i in range(len(found)):
-                    a, b = found.offsets[i : i + 2].tolist()
-                    n = b - a - least + 1
-                    if n <= 0:
-                        continue
-                    # A run of the passage starts from so far left of the suffix that it still holds its lead, up to it.
-                    near, at = np.zeros(n + 1, np.int64), np.array(batch.column(2)[lo + i].as_py(), np.int64)
-                    np.add.at(near, np.clip(at - (least - lead), 0, n), 1)
-                    np.add.at(near, np.clip(at + 1, 0, n), -1)
-                    place = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-                    starts = found.starts[a + place] - found.bounds[i]
-                    width = found.ends[a + place + least - 1] - found.bounds[i] - starts
-                    id_ = np.full(len(place), batch.column(0)[lo + i].as_py(), np.int64)
-                    out.append((long_rolling(found.hashes[a:b], least)[place].astype(np.int64), id_, place, starts, width))
-                if out:
-                    columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-                    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                    columns = [pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(columns, types, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["hash", "id", "place", "byte", "width"])
-
-    rows = documents.select(F.col(key).cast("bigint").alias("id"), text).join(matched, "id")
-    return rows.select("id", text, "places").mapInArrow(run, "hash bigint, id bigint, place int, byte int, width int")
+            for lo, hi, found in chunks(batch.column(2)):
+                places = batch.column(3).slice(lo, hi - lo)
+                of = np.repeat(np.arange(hi - lo), places.value_lengths().to_numpy())
+                at = places.flatten().to_numpy() + found.offsets[of]
+                # A run of the passage starts from so far left of the suffix that it still holds its lead, up to it.
+                first, last = np.maximum(at - (least - lead), found.offsets[of]), np.minimum(at, found.offsets[of + 1] - least)
+                near = np.zeros(len(found.hashes) + 1, np.int32)
+                np.add.at(near, first, 1)
+                np.add.at(near, last + 1, -1)
+                all_ = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+                ids, tags = (batch.column(c).slice(lo, hi - lo).to_numpy() for c in (0, 1))
+                for k in range(0, len(all_), SLICE):
+                    some = all_[k : k + SLICE]
+                    of = np.searchsorted(found.offsets, some, side="right") - 1
+                    byte, width = found.starts[some] - found.bounds[of], found.ends[some + least - 1] - found.starts[some]
+                    one, two = (stretch(found.hashes, some, some + least, salt).astype(np.int64) for salt in (0, _SALT))
+                    yield _batch([one, two, ids[of], tags[of], some - found.offsets[of], byte, width], names, types)
+
+    rows = documents.select(F.col(key).cast("bigint").alias("id"), text_tag(text).alias("tag"), F.col(text).alias("whole")).join(places, ["id", "tag"])
+    schema = "hash bigint, check bigint, id bigint, tag int, place int, byte int, width int"
+    return rows.select("id", "tag", "whole", "places").mapInArrow(run, schema)
 
 
 def _repeats(runs: DataFrame) -> DataFrame:
-    """Runs with an equal one before them in the order (id, place): id, byte, width, like (the id of that neighbour)."""
-    schema = "part int, edge int, hash bigint, id bigint, place int, byte int, width int, like bigint"
+    """Runs with an equal one before them in the order (id, tag, place): id, tag, byte, width, like (the id of that neighbour)."""
+    order = ["hash", "check", "id", "tag", "place"]
+    names, types = "edge hash check id tag place byte width like", [_NARROW, _WIDE, _WIDE, _WIDE, _NARROW, _NARROW, _NARROW, _NARROW, _WIDE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, last = TaskContext.get().partitionId(), None
+        last = None
 
         def rows(edge: int, columns: list[np.ndarray], like) -> pa.RecordBatch:
-            n = len(columns[0])
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-            columns = [np.full(n, part), np.full(n, edge), *columns, like]
-            names = ["part", "edge", "hash", "id", "place", "byte", "width", "like"]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+            return _batch([np.full(len(like), edge), *columns, like], names, types)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             now = [c.to_numpy() for c in batch.columns]
             if last is None:
-                yield rows(1, [c[:1] for c in now], now[1][:1])
+                yield rows(1, [c[:1] for c in now], now[2][:1])
             else:
                 now = [np.concatenate([x, c]) for x, c in zip(last, now, strict=True)]
-            hash_, id_, place = now[:3]
-            same = (hash_[1:] == hash_[:-1]) & ((id_[1:] != id_[:-1]) | (place[1:] != place[:-1]))
-            yield rows(0, [c[1:][same] for c in now], id_[:-1][same])
+            equal = [c[1:] == c[:-1] for c in now[:5]]
+            repeat = equal[0] & equal[1] & ~(equal[2] & equal[3] & equal[4])
+            yield rows(0, [c[1:][repeat] for c in now], now[2][:-1][repeat])
             last = [c[-1:] for c in now]
         if last is not None:
-            yield rows(2, last, last[1])
+            yield rows(2, last, last[2])
 
-    found = stored(_ranged(runs).select("hash", "id", "place", "byte", "width").mapInArrow(run, schema))
-    # Two rows from each task: the first of a task is a repeat if the last of the task before equals it.
-    edges, before, more = found.where("edge > 0").orderBy("part", "edge").collect(), None, []
-    for r in edges:
-        if r["edge"] == 1 and before and r["hash"] == before["hash"] and (r["id"], r["place"]) != (before["id"], before["place"]):
-            more.append((r["id"], r["byte"], r["width"], before["id"]))
-        before = r if r["edge"] == 2 else before
-    more = runs.sparkSession.createDataFrame(more, "id bigint, byte int, width int, like bigint")
-    return found.where("edge = 0").select("id", "byte", "width", "like").unionByName(more)
+    schema = "edge int, hash bigint, check bigint, id bigint, tag int, place int, byte int, width int, like bigint"
+    found = stored(_ranged(runs, *order).select(*order, "byte", "width").mapInArrow(run, schema))
+    # A task's first run is a repeat if an equal one is the last of a task before it.
+    where = F.struct("id", "tag", "place")
+    lasts = found.where("edge = 2").groupBy("hash", "check").agg(F.min(where).alias("before"))
+    firsts = found.where("edge = 1").join(lasts, ["hash", "check"]).where(F.col("before") < where)
+    columns = ["id", "tag", "byte", "width"]
+    return found.where("edge = 0").select(*columns, "like").unionByName(firsts.select(*columns, F.col("before.id").alias("like")))
 
 
-def _joined(repeats: DataFrame) -> DataFrame:
-    """Overlapping repeats as maximal spans of bytes: id, start, end, like (the smallest neighbour's id)."""
+def _joined(matches: DataFrame) -> DataFrame:
+    """Overlapping matches as maximal spans of bytes: id, tag, start, end, like (the smallest neighbour's id)."""
+    names, types = "id tag start end like", [_WIDE, _NARROW, _WIDE, _WIDE, _WIDE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            id_, start, width, like = (c.to_numpy().astype(np.int64) for c in batch.columns)
+            id_, tag, start, width, like = (c.to_numpy().astype(np.int64) for c in batch.columns)
             end = start + width
             if last is not None:
-                id_, start, end, like = (np.concatenate([x, c]) for x, c in zip(last, (id_, start, end, like), strict=True))
-            # Runs have the same number of words, so ends follow starts; only within one document do they overlap.
-            new = np.append(True, (id_[1:] != id_[:-1]) | (start[1:] > end[:-1]))
+                id_, tag, start, end, like = (np.concatenate([x, c]) for x, c in zip(last, (id_, tag, start, end, like), strict=True))
+            other = np.append(True, (id_[1:] != id_[:-1]) | (tag[1:] != tag[:-1]))
+            # The furthest end so far within a document: each one's ends lie above those of the one before.
+            shift = np.cumsum(other) << 32
+            reach = np.maximum.accumulate(end + shift)
+            new = other.copy()
+            new[1:] |= start[1:] + shift[1:] > reach[:-1]
             at = np.flatnonzero(new)
             ends = np.maximum.reduceat(end, at)
-            spans = id_[at], start[at], ends, np.minimum.reduceat(like, at)
-            yield pa.RecordBatch.from_arrays([pa.array(c[:-1]) for c in spans], names=["id", "start", "end", "like"])
+            spans = id_[at], tag[at], start[at], ends, np.minimum.reduceat(like, at)
+            yield _batch([c[:-1] for c in spans], names, types)
             last = [c[-1:] for c in spans]
         if last is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in last], names=["id", "start", "end", "like"])
+            yield _batch(last, names, types)
 
-    dealt = repeats.repartition("id").sortWithinPartitions("id", "byte")
-    return dealt.select("id", "byte", "width", "like").mapInArrow(run, "id bigint, start bigint, end bigint, like bigint")
+    dealt = matches.repartition("id", "tag").sortWithinPartitions("id", "tag", "byte")
+    return dealt.select("id", "tag", "byte", "width", "like").mapInArrow(run, "id bigint, tag int, start bigint, end bigint, like bigint")
 
 
 def repeated_spans(documents: DataFrame, least: int = LEAST, lead: int = LEAD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Spans of ``least`` words or more that occur before, in an earlier document or earlier in their own.
 
-    Returns id, name (128 bits for the text), start, end (bytes of the UTF-8 text), like (id of a document
-    that holds the passage or, for a longer span, a part of it). Of all occurrences the one in the smallest id, at the first
-    place, has no span; a text that equals an earlier one is a span as a whole. Words are compared with
-    A-Z lower-cased and any white space between them. Null and short texts, and rows without id, have no
-    spans. Rows that repeat an id and its text count once; of different texts with one id only one takes part.
+    Returns id, tag (CRC-32 of the text), start, end (bytes of the UTF-8 text), like (id of a document that holds
+    the passage or, for a longer span, a part of it). Of all occurrences the one in the smallest id, at the first
+    place, has no span; a text whose words are all those of an earlier one is a span from its first word to its
+    last. Words are compared with A-Z lower-cased and any white space between them.
+
+    Null, empty and short texts, and rows without id, have no spans; an empty table has none. Rows that repeat an
+    id and its text count once; different texts with one id are documents of their own, in the order of their tags.
+    A text may have any length below 2 GB: a worker holds some twenty times the longest text's bytes. Columns
+    beyond the two aren't read. Each text is shuffled at most once.
     """
     own_columns(documents, key, text)
-    texts = stored(_suffixes(documents, key, text, least, lead))
-    one = texts.groupBy("id").agg(F.min("name").alias("name"))
-    texts_of = texts.select("id", "name", "bytes").join(one, ["id", "name"]).dropDuplicates(["id"])
-    first = stored(texts_of.groupBy("name").agg(F.min("id").alias("first")))
-    named = stored(texts_of.join(first, "name"))
-    own = named.where("id = first").select("id", "name")
-    suffixes = texts.join(own, ["id", "name"]).select("id", F.explode(F.arrays_zip("leads", "places")).alias("s"))
-    suffixes = stored(suffixes.select(F.col("s.leads").alias("hash"), "id", F.col("s.places").alias("place")))
-    drop_stored(texts)
-    matched = _matched(suffixes).groupBy("id").agg(F.collect_set("place").alias("places"))
-    runs = stored(_extended(documents, matched, key, text, least, lead))
+    suffixes = stored(_suffixes(documents, key, text, least, lead))
+    found = stored(_neighbours(suffixes))
     drop_stored(suffixes)
-    spans = _joined(_repeats(runs)).join(own, "id").select("id", "name", "start", "end", "like")
-    whole = named.where("id <> first")
-    whole = whole.select("id", "name", F.lit(0).cast("bigint").alias("start"), F.col("bytes").alias("end"), F.col("first").alias("like"))
-    return spans.unionByName(whole)
+    places = found.where("width is null").groupBy("id", "tag").agg(F.collect_set("place").alias("places"))
+    runs = stored(_runs(documents, places, key, text, least, lead))
+    matches = found.where("width is not null").select("id", "tag", "byte", "width", "like").unionByName(_repeats(runs))
+    drop_stored(runs)
+    return _joined(matches)
 
 
 def cut_repeats(documents: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``documents`` without the spans' bytes (one space or line break is left where words would meet).
 
-    Columns and rows stay as they are, but for the text (and n_chars, if there is one) of cut documents; a
-    document of which no word is left is dropped.
+    Columns (of any names) and rows stay as they are, but for the text (and n_chars, if there is one) of cut
+    documents; a document of which no word is left is dropped. Rows without id or text, and texts without spans,
+    stay whole; rows that repeat an id and its text are all cut alike.
     """
-    each = spans.groupBy("id").agg(F.first("name").alias("__name"), F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    order = documents.columns
-
-    def cut(names: pa.ChunkedArray, spans_: list, texts: list) -> list:
-        out = []
-        for name, found, t in zip(names, spans_, texts, strict=True):
-            raw = t.encode() if found and t else b""
-            if not raw or hashlib.blake2b(raw, digest_size=16).digest() != name:
-                out.append(t)
-                continue
-            kept, at = [], 0
-            for s in found:
-                kept.append(raw[at : s["start"]])
-                at = s["end"]
-            kept.append(raw[at:])
-            parts = [p.decode() for p in kept]
-            whole = parts[0]
-            for p in parts[1:]:
-                gap = "\n" if whole[-1:] == "\n" or p[:1] == "\n" else " "
-                whole = whole.rstrip(" \t\n\r\v\f") + gap + p.lstrip(" \t\n\r\v\f")
-            whole = whole.strip(" \t\n\r\v\f")
-            out.append(whole or None)
-        return out
-
-    rows = documents.join(each.withColumnRenamed("id", "__id"), documents[key].cast("bigint") == F.col("__id"), "left")
-    fields = documents.schema
-    count = next((f.name for f in fields if f.name == "n_chars"), None)
+    own_columns(documents, key, text)
+    order, white = documents.columns, " \t\n\r\v\f"
+
+    def cut(found: list, whole: str) -> str | None:
+        raw, out, at, line = whole.encode(), [], 0, False
+        for start, end in [*((x["start"], x["end"]) for x in found), (None, None)]:
+            part = raw[at:start].decode()
+            line |= bool(out) and part[:1] == "\n"
+            if word := part.strip(white):
+                out += ["\n" if line else " "] * bool(out) + [word]
+                line = False
+            line |= part[-1:] == "\n"
+            at = end
+        return "".join(out) or None
+
+    each = spans.groupBy("id", "tag").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    rows = documents.select(F.struct(*order).alias("row"), F.col(key).cast("bigint").alias("id"), text_tag(text).alias("tag"))
+    rows = rows.join(each, ["id", "tag"], "left").select("row", "spans")
+    count = order.index("n_chars") if "n_chars" in order else None
+    at = order.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, spans_ = batch.column(text).to_pylist(), batch.column("__spans").to_pylist()
-            new = cut(batch.column("__name").to_pylist(), spans_, texts)
-            keep = [not s or t is not None or o is None for t, s, o in zip(new, spans_, texts, strict=True)]
-            changed = [t != o for t, o in zip(new, texts, strict=True)]
-            columns = []
-            for name in order:
-                column = batch.column(name)
-                if name == text:
-                    column = pa.array(new, column.type)
-                elif name == count:
-                    old = column.to_pylist()
-                    column = pa.array([len(t) if c and t is not None else o for t, c, o in zip(new, changed, old, strict=True)], column.type)
-                columns.append(column)
+            columns, spans_ = batch.column(0).flatten(), batch.column(1).to_pylist()
+            old = columns[at].to_pylist()
+            new = [cut(s, t) if s and t else t for s, t in zip(spans_, old, strict=True)]
+            columns[at] = pa.array(new, columns[at].type)
+            if count is not None:
+                sizes = columns[count].to_pylist()
+                sizes = [len(t) if s and t else n for t, s, n in zip(new, spans_, sizes, strict=True)]
+                columns[count] = pa.array(sizes, columns[count].type)
+            keep = [t is not None or o is None for t, o in zip(new, old, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=order).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, fields)
+    return rows.mapInArrow(run, documents.schema)

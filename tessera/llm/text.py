@@ -34,21 +34,27 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class _Powers:
-    """Powers of the base and of its inverse, for the longest chunk so far."""
+    """Powers of the base and of its inverse; a word longer than a chunk gets its own."""
 
-    size, up, down = 0, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    up, down = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > cls.size:
-            cls.size = max(n, CHUNK_BYTES)
-            cls.up, cls.down = _powers(_BASE, cls.size), _powers(pow(_BASE, -1, 2**64), cls.size)
-            if cls.size > 8 * CHUNK_BYTES:  # a giant text; its powers aren't kept
-                up, down, cls.size = cls.up, cls.down, 0
-                return up[:n], down[:n]
+        most = CHUNK_BYTES + 4096
+        if n > most:
+            return _powers(_BASE, n), _powers(pow(_BASE, -1, 2**64), n)
+        if not len(cls.up):
+            cls.up, cls.down = _powers(_BASE, most), _powers(pow(_BASE, -1, 2**64), most)
         return cls.up[:n], cls.down[:n]
 
 
+def _sums(values: np.ndarray, up: np.ndarray) -> np.ndarray:
+    """Prefix sums of the values times the powers."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up, out=out[1:])
+    return out
+
+
 class Words:
     """The words of some texts: byte ranges in ``data``, hashes, and where each text's words begin."""
 
@@ -64,11 +70,15 @@ class Words:
         self.starts = np.flatnonzero(inside & ~before)
         self.ends = np.flatnonzero(inside & ~after) + 1
         self.offsets = np.searchsorted(self.starts, bounds)
-        up, down = _Powers.of(len(data))
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * up, out=sums[1:])
-        raw = (sums[self.ends] - sums[self.starts]) * down[self.starts] if len(self.starts) else np.zeros(0, np.uint64)
-        self.hashes = mix(raw + (self.ends - self.starts).astype(np.uint64) * _WORD)
+        self.hashes = np.empty(len(self.starts), np.uint64)
+        lo = 0
+        while lo < len(self.starts):  # some words at a time, a chunk's bytes or one word
+            hi = max(lo + 1, int(np.searchsorted(self.ends, self.starts[lo] + CHUNK_BYTES, side="right")))
+            first, end = self.starts[lo], self.ends[hi - 1]
+            up, down = _Powers.of(int(end - first))
+            sums, at, to = _sums(_BYTES[data[first:end]], up), self.starts[lo:hi] - first, self.ends[lo:hi] - first
+            self.hashes[lo:hi] = mix((sums[to] - sums[at]) * down[at] + (to - at).astype(np.uint64) * _WORD)
+            lo = hi
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
@@ -97,15 +107,22 @@ def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def long_rolling(hashes: np.ndarray, k: int) -> np.ndarray:
-    """As ``rolling``, for runs of many words, from prefix sums."""
-    n = len(hashes) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    up, down = _Powers.of(len(hashes))
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * up, out=sums[1:])
-    return mix((sums[k:] - sums[:n]) * down[:n])
+def stretch(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """Hash of each run of words from a start to an end; starts ascend, runs are short, memory is that of a few thousand."""
+    out, step = np.empty(len(starts), np.uint64), 1 << 15
+    hashes = mix(hashes + np.uint64(salt)) if salt else hashes
+    for lo in range(0, len(starts), step):
+        a, b = starts[lo : lo + step], ends[lo : lo + step]
+        hi = lo
+        while hi < lo + len(a):  # starts may lie far apart
+            first = int(a[hi - lo])
+            n = max(1, int(np.searchsorted(a[hi - lo :], first + CHUNK_BYTES)))
+            one, two = a[hi - lo : hi - lo + n] - first, b[hi - lo : hi - lo + n] - first
+            up, down = _Powers.of(int(two.max()) + 1)
+            sums = _sums(hashes[first : first + len(up) - 1], up[: len(up) - 1])
+            out[hi : hi + n] = mix((sums[two] - sums[one]) * down[one] + (two - one).astype(np.uint64))
+            hi += n
+    return out
 
 
 def chunks(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
