@@ -687,6 +687,39 @@ def gram(spark, d):
     return spark.createDataFrame(rows, "term string, own double, total double").select("term", F.round("own", 5).alias("own"), F.round("total", 4).alias("total"))
 
 
+@query(
+    "M07_M08_M09_W15_W16_W17_topic_checks",
+    f"SELECT format('topic_{{:02d}}', i) AS topic, true AS component, true AS ordered, true AS terms, true AS assigned FROM range(1, {topics.TOPICS + 1}) t(i)",
+)
+def topic_checks(spark, d):
+    """Is each topic a unit component of the gram matrix with its share of the trace, positive where strongest, weaker than the one before and unlike it;
+    are its terms those of the largest loadings; and does each of its documents score highest there?"""
+    import numpy as np
+
+    weighted, words, _ = _weighted(spark, d)
+    ship(spark)
+    weighted = written(weighted)
+    terms_ = [r["term"] for r in words.collect()]  # bounded by the vocabulary's size
+    matrix = topics.gram(weighted, terms_)
+    found, shares = topics.components(matrix)
+    loads = topics.loadings(spark, found, terms_)
+    scores = weighted.join(F.broadcast(loads), "term").groupBy("doc_id", "topic").agg(F.abs(F.sum(F.col("weight") * F.col("loading"))).alias("score"))
+    best = scores.groupBy("doc_id").agg(F.max("score").alias("best"))
+    own = topics.assigned(weighted, loads).join(scores, ["doc_id", "topic"]).join(best, "doc_id")
+    assigned = {r[0]: r[1] for r in own.groupBy("topic").agg(F.bool_and(F.col("score") >= F.col("best") - 1e-12)).collect()}
+    tops = {}
+    for r in topics.top_terms(loads).orderBy("topic", "rank").collect():
+        tops.setdefault(r["topic"], []).append(r["term"])
+    rows, total = [], float(np.trace(matrix))
+    for k, (v, share) in enumerate(zip(found, shares, strict=True)):
+        name = f"topic_{k + 1:02d}"
+        component = np.abs(matrix @ v - share * total * v).max() < 1e-6 * total and abs(v @ v - 1) < 1e-9 and v[np.abs(v).argmax()] > 0
+        ordered = k == 0 or shares[k - 1] >= share and abs(found[:k] @ v).max() < 1e-6
+        want = [t for _, t in sorted(zip(-v, terms_, strict=True))][: topics.TERMS]
+        rows.append((name, bool(component), bool(ordered), tops[name] == want, assigned.get(name, True)))
+    return spark.createDataFrame(rows, "topic string, component boolean, ordered boolean, terms boolean, assigned boolean")
+
+
 @query(
     "A26_J10_crosstab",
     f"""WITH {_FEATURES}, q AS (SELECT quantile_cont(word_count, 1 / 3::DOUBLE) AS one, quantile_cont(word_count, 2 / 3::DOUBLE) AS two FROM features),
