@@ -8,7 +8,10 @@ likelihood of its registers drops it if hopeless. The full sets confirm every li
 Copies (equal sets) are one class throughout. Classes that share buckets, directly or through others,
 form clusters, and all links lie within clusters. A cluster is dealt by hash over blocks of bounded size;
 blocks are compared in themselves and in pairs, by bit sets over the shingles that can be shared at all,
-and only links that unite something leave a task. So no bucket is cut off, and no pairs are written out.
+and only links that unite something leave a task. In a cluster of very many blocks, all meet only the first
+one; that unites its large families, and what is left to compare are the buckets that still hold several: there,
+all but the largest family meet the rest. So no bucket is cut off, no pairs are written out, and a large family of
+near copies takes time in proportion to its size.
 """
 
 from __future__ import annotations
@@ -19,11 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.graph import components
-from tessera.llm.shared import own_columns, stored
+from tessera.llm.graph import components, looked_up
+from tessera.llm.shared import own_columns, stored, text_tag
 from tessera.llm.text import chunks, mix
 
 REGISTERS, RATE = 128, 20.0
@@ -32,6 +36,8 @@ ROWS = 4
 SIGMAS = 6.0
 #: Bounds of a block, for memory and for the square of its sets that one task compares.
 BLOCK_SHINGLES, BLOCK_SETS = 400_000, 512
+#: Clusters of more blocks than these don't compare all pairs of blocks.
+MANY = 16
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(REGISTERS)
 _SALTS = (_STEPS + 1).astype(np.uint64) * _GOLD
@@ -104,20 +110,20 @@ def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 
 def sketches(documents: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
-    """One row per document: id, n (size of its set), name and registers (null for an empty set)."""
+    """One row per document: id, tag (of the text), n (size of its set), name and registers (null for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, names, values = [], [], []
-            for s in _sets(batch.column(1), rule.words):
+            for s in _sets(batch.column(2), rule.words):
                 n.append(len(s))
                 names.append(_named(s) if len(s) else None)
                 values.append(registers(s).tobytes() if len(s) else None)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(values, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "name", "registers"])
+            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(values, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "tag", "n", "name", "registers"])
 
-    rows = documents.select(F.col(key).cast("bigint").alias("id"), text)
-    return rows.mapInArrow(run, "id bigint, n bigint, name binary, registers binary")
+    rows = documents.select(F.col(key).cast("bigint").alias("id"), text_tag(text).alias("tag"), F.col(text).alias("whole"))
+    return rows.mapInArrow(run, "id bigint, tag int, n bigint, name binary, registers binary")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -138,9 +144,12 @@ def _likely(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _members(clusters: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
-    """Full sets of the classes in ``clusters`` (node, cluster), made from a text of each: node, cluster, hashes."""
-    nodes = clusters.join(classes.select("node", "name"), "node")
-    rows = documents.select(F.col(key).cast("bigint").alias("node"), text).join(nodes, "node").select("node", "cluster", "name", text)
+    """Full sets of the classes in ``clusters`` (node, cluster), made from a text of each: node, cluster, hashes.
+
+    A class is looked up by its smallest id; of the texts with that id only those of its name count.
+    """
+    nodes = clusters.join(classes.select("node", "name", F.col("first").alias("id")), "node")
+    rows = documents.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("whole")).join(nodes, "id").select("node", "cluster", "name", "whole")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,10 +213,13 @@ def _words(packed: np.ndarray) -> np.ndarray:
     return wide.view(np.uint64)
 
 
-def _uniting(rows: Block, columns: Block, a: np.ndarray, b: np.ndarray, rule: Rule, same: bool) -> list[tuple[int, int]]:
-    """Links between two blocks' sets, or within one, that unite components; ``a`` and ``b`` are their bits over the same hashes."""
+def _uniting(rows: Block, columns: Block, a: np.ndarray, b: np.ndarray, rule: Rule, same: bool, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links between two blocks' sets, or within one, that unite components; ``a`` and ``b`` are their bits over the same hashes.
+
+    ``known`` holds a label for each set, of the rows and then of the columns, equal for those united already.
+    """
     n = len(rows.nodes)
-    labels = np.arange(n if same else n + len(columns.nodes))
+    labels = np.arange(n if same else n + len(columns.nodes)) if known is None else known.copy()
     shift, out = 0 if same else n, []
     a, b = _words(a), _words(b)
     for i in range(n):
@@ -225,11 +237,16 @@ def _uniting(rows: Block, columns: Block, a: np.ndarray, b: np.ndarray, rule: Ru
     return out
 
 
-def _links(members: DataFrame, rule: Rule) -> DataFrame:
+def _sets_of(table: pa.Table) -> dict[int, np.ndarray]:
+    """Hashes by node; a node whose text stands in several rows counts once."""
+    return {n: np.frombuffer(h.as_buffer(), "<u8") for n, h in zip(table.column("node").to_pylist(), table.column("hashes"), strict=True)}
+
+
+def _links(members: DataFrame, entries: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) whose components are those of all confirmed links of each cluster."""
     load = F.octet_length("hashes") / 8
-    sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.sum(load) / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).alias("blocks"))
-    dealt = members.join(stored(sizes), "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    sizes = stored(members.groupBy("cluster").agg(F.greatest(F.ceil(F.sum(load) / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).alias("blocks")), compact=True)
+    dealt = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     schema = "cluster bigint, block bigint, blocks bigint, a bigint, b bigint, packed binary"
     fields = pa.schema([(n, pa.int64()) for n in ("cluster", "block", "blocks", "a", "b")] + [("packed", pa.binary())])
 
@@ -238,7 +255,7 @@ def _links(members: DataFrame, rule: Rule) -> DataFrame:
         return pa.table(list(map(list, zip(*out, strict=True))) or [[]] * 6, schema=fields)
 
     def inside(table: pa.Table) -> pa.Table:
-        sets = {n: np.frombuffer(h.as_buffer(), "<u8") for n, h in zip(table.column("node").to_pylist(), table.column("hashes"), strict=True)}
+        sets = _sets_of(table)
         cluster, block, blocks = (table.column(c)[0].as_py() for c in ("cluster", "block", "blocks"))
         nodes = sorted(sets)
         one = Block.of(nodes, [sets[n] for n in nodes])
@@ -251,49 +268,117 @@ def _links(members: DataFrame, rule: Rule) -> DataFrame:
         return rows(table.column("cluster")[0].as_py(), 0, 0, found, None)
 
     first = stored(dealt.select("cluster", "block", "blocks", "node", "hashes").groupBy("cluster", "block").applyInArrow(inside, schema))
-    partner = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
-    pairs = first.where("packed is not null").select("cluster", "block", "packed", partner).where("block <> other")
+    last = F.col("blocks") - 1
+    others = F.when((F.col("blocks") <= MANY) | (F.col("block") == 0), F.sequence(F.lit(0).cast("bigint"), last)).otherwise(F.array(F.lit(0).cast("bigint")))
+    pairs = first.where("packed is not null").select("cluster", "block", "packed", F.explode(others).alias("other")).where("block <> other")
     pairs = pairs.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "packed")
     # A block that no node fell into has no partner row.
     whole = pairs.groupBy("cluster", "lo", "hi").agg(F.count("*").alias("n")).where("n = 2").select("cluster", "lo", "hi")
     second = pairs.join(whole, ["cluster", "lo", "hi"]).groupBy("cluster", "lo", "hi").applyInArrow(between, schema)
-    return first.where("a is not null").select("a", "b").unionByName(second.select("a", "b"))
+    found = first.where("a is not null").select("a", "b").unionByName(second.select("a", "b"))
+    large = sizes.where(F.col("blocks") > MANY).select("cluster")
+    if large.isEmpty():
+        return found
+    found = stored(found)
+    return found.unionByName(_open_buckets(members.join(large, "cluster", "left_semi").select("node", "hashes"), entries, found, rule))
 
 
-def near_duplicates(documents: DataFrame, rule: Rule | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: key, n_shingles, component_id (smallest id reachable), kept.
+def _open_buckets(members: DataFrame, entries: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) between ``members`` (node, hashes) that share a bucket of ``entries`` (node, band), but no component of the ``known`` links.
 
-    Texts without words (null ones too) are linked with nothing. Rows with equal ids are documents of their
-    own that share an id. A row without id is linked with nothing and kept, its component null. Columns
-    beyond the two are not read; ids are integers. Buckets need ROWS equal registers in one of REGISTERS / ROWS
-    bands: a pair at the threshold is missed with a chance below 1e-10 at 85 %, 1e-7 at 80 %.
+    Of each bucket that still holds several components, the sets outside the largest one meet all others.
     """
-    own_columns(documents, key, text)
-    rule = rule or Rule()
+    members = members.dropDuplicates(["node"])
+    united = components(known).select("node", F.col("component").alias("label"))
+    held = members.select("node").join(united, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    held = stored(entries.join(held, "node").select("band", "node", "label"))
+    each = held.groupBy("band", "label").agg(F.count("*").alias("n"))
+    buckets = each.groupBy("band").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("families")).where("families > 1")
+    blocks = lambda n: F.ceil(n / BLOCK_SETS)
+    buckets = stored(buckets.select("band", F.col("most.label").alias("most"), blocks(F.col("all")).alias("blocks"), blocks(F.col("all") - F.col("most.n")).alias("rests")))
+    held = held.join(buckets, "band").withColumn("spread", F.xxhash64("node"))
+    numbers = lambda n: F.sequence(F.lit(0).cast("bigint"), n - 1)
+    block, rest = F.pmod("spread", "blocks"), F.pmod("spread", "rests")
+    whole = held.select("band", block.alias("block"), F.explode(numbers(F.col("rests"))).alias("rest"), F.lit(False).alias("rare"), "node", "label")
+    rare = held.where("label <> most").select("band", F.explode(numbers(F.col("blocks"))).alias("block"), rest.alias("rest"), F.lit(True).alias("rare"), "node", "label")
+    met = whole.unionByName(rare).join(members, "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        label, rare_ = dict(zip(table.column("node").to_pylist(), table.column("label").to_pylist(), strict=True)), table.column("rare")
+        sides = [_sets_of(table.filter(pa.compute.equal(rare_, side))) for side in (True, False)]
+        if not all(sides):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        x, y = (Block.of(sorted(s), [s[n] for n in sorted(s)]) for s in sides)
+        hashes = np.intersect1d(x.hashes(), y.hashes(), assume_unique=True)
+        labels = np.unique([label[n] for n in [*x.nodes.tolist(), *y.nodes.tolist()]], return_inverse=True)[1]
+        links = _uniting(x, y, x.over(hashes), y.over(hashes), rule, False, labels)
+        return pa.table({n: pa.array([pair[k] for pair in links], pa.int64()) for k, n in enumerate("ab")})
+
+    return met.groupBy("band", "block", "rest").applyInArrow(run, "a bigint, b bigint")
+
+
+def _grouped(documents: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
+    """Every row's id, tag, n, component (a number; null where it is linked with nothing) and least (smallest id of its copies and links)."""
     rows = stored(sketches(documents, key, text, rule))
     usable = (F.col("n") > 0) & F.col("id").isNotNull()
-    classes = stored(rows.where(usable).groupBy("name", "n", "registers").agg(F.min("id").alias("node")))
+    # Classes get numbers of their own: an id may belong to several of them.
+    classes = rows.where(usable).groupBy("name", "n", "registers").agg(F.min("id").alias("first"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)),
         lambda k: F.xxhash64(F.substring(F.col("registers"), k * (2 * ROWS) + 1, F.lit(2 * ROWS)), k),
     )
     entries = classes.select("node", F.explode(bands).alias("band"))
     shared = entries.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("size"))
-    shared = stored(shared.where("size > 1"))
+    shared = stored(shared.where("size > 1"), compact=True)
     # The one pair of a small bucket may be dropped; in a larger one, classes unlike the smallest may be like each other.
     pairs = stored(_likely(shared.where("size = 2 and hub <> last").select(F.col("hub").alias("a"), F.col("last").alias("b")).distinct(), classes, rule))
     more = entries.join(shared.where("size > 2").select("band", "hub"), "band").where("node <> hub")
     pairs = pairs.unionByName(more.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    clusters = stored(components(pairs).select("node", F.col("component").alias("cluster")))
-    found = components(_links(stored(_members(clusters, classes, documents, key, text, rule)), rule))
+    clusters = stored(components(pairs).select("node", F.col("component").alias("cluster")), compact=True)
+    members = stored(_members(clusters, classes, documents, key, text, rule))
+    found = stored(components(_links(members, entries, rule)).join(classes.select("node", "name", "first"), "node"), compact=True)
 
-    named = classes.join(found, "node", "left").select("name", F.coalesce("component", "node").alias("component"))
-    named = stored(named)
-    out = rows.join(named, "name", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    least = found.groupBy("component").agg(F.min("first").alias("value"), F.count("*").alias("n"))
+    united = looked_up(found.select("component", "name"), "component", least, found.count()).select("name", "component", F.col("value").alias("least"))
+    named = classes.join(united, "name", "left")
+    named = stored(named.select("name", F.coalesce("component", "node").alias("component"), F.coalesce("least", "first").alias("least")), compact=True)
+    out = rows.select("id", "tag", "n", F.when(usable, F.col("name")).alias("name")).join(named, "name", "left")
+    return out.select("id", "tag", "n", "component", F.coalesce("least", "id").alias("least"))
+
+
+def near_duplicates(documents: DataFrame, rule: Rule | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: key, n_shingles, component_id (smallest id reachable), kept.
+
+    Texts without words (null ones too) are linked with nothing; an empty table has no rows. Rows with equal ids are
+    documents of their own that share an id, whether their texts are equal or not. A row without id is linked with
+    nothing and kept, its component null. Texts may be of any length below 2 GB: a worker holds some twenty times
+    the longest text's bytes. Columns beyond the two are not read; ids are integers. Buckets need ROWS equal registers
+    in one of REGISTERS / ROWS bands: a pair at the threshold is missed with a chance below 1e-10 at 85 %, 1e-7 at 80 %.
+    """
+    own_columns(documents, key, text)
+    out = _grouped(documents, rule or Rule(), key, text)
     return out.select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        F.col("least").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("least"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(documents: DataFrame, rule: Rule | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents``, columns of any names unchanged, with one row of each near-duplicate component.
+
+    That is the one of the smallest id; of several texts with that id, the one of the smallest tag; of rows that
+    repeat an id and its text, any. Rows linked with nothing (null ids, texts without words) all stay.
+    """
+    own_columns(documents, key, text)
+    found = stored(_grouped(documents, rule or Rule(), key, text).where("component is not null"))
+    rank = F.row_number().over(Window.partitionBy("component").orderBy("tag"))
+    # Only rows of a component's smallest id come together here.
+    more = found.where("id = least").select("component", "id", "tag").distinct().withColumn("rank", rank).where("rank > 1")
+    gone = found.where("id <> least").select("id", "tag").unionByName(more.select("id", "tag")).distinct()
+    linked = F.col(key).isNotNull() & F.coalesce(F.col(text).rlike(r"[^ \t-\r]"), F.lit(False))
+    rows = documents.where(linked).select(F.struct(*documents.columns).alias("row"), F.col(key).cast("bigint").alias("id"), text_tag(text).alias("tag"))
+    one = rows.groupBy("id", "tag").agg(F.first("row").alias("row"))
+    return one.join(gone, ["id", "tag"], "left_anti").select("row.*").unionByName(documents.where(~linked))
