@@ -34,7 +34,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     turns = table(spark, sf_dir, "conversations").select(columns).unionByName(own)
-    return format_chats(turns, tokenizer_file("byte_bpe_50k.json")).drop("formatted", "ids", "loss_mask")
+    return format_chats(turns, tokenizer_file("byte_bpe_50k.json"), with_output=False)
 
 
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,22 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those columns of ``op5_fingerprints`` that SQL can express."""
+    return fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def packed_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of ``op7_packing``: is each document in pieces that follow one another without a gap, each in a sequence without one?"""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    before = lambda key, at: F.coalesce(F.sum("length").over(Window.partitionBy(key).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = packing(spark, sf_dir).withColumns({"own": before("doc_id", "start"), "in_sequence": before("sequence_id", "offset")})
+    good = (F.col("own") == F.col("start")) & (F.col("in_sequence") == F.col("offset")) & (F.col("offset") + F.col("length") <= 2048)
+    return rows.groupBy("doc_id").agg((F.bool_and(good) & (F.sum("length") == F.max("doc_tokens"))).alias("whole"))
+
+
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.near_dedup import Rule, near_duplicates
 
@@ -95,8 +111,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": html_extraction,
     "op9_quality": quality,
     "op10_sentencepiece": sentencepiece,
+    "llm_edited_texts": edited_texts,
+    "llm_packed_whole": packed_whole,
 }
 
+
 def _components_sql(percent: int, words: int) -> str:
     """Component of every document, for links by shared shingles: doc_id, n_shingles, component_id."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -135,6 +154,11 @@ _BASE32 = """array_to_string(list_transform(range(0, 32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(sha, (5 * (i // 4) + 1)::BIGINT, 5))::BIGINT >> (5 * (3 - i % 4))::BIGINT) & 31) + 1)::BIGINT, 1)), '')"""
 
 ORACLE_SQL: dict[str, str] = {
+    "llm_edited_texts": """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS own FROM documents),
+n AS (SELECT doc_id, own, coalesce(lead(own) OVER (ORDER BY doc_id), first(own) OVER (ORDER BY doc_id)) AS next FROM t)
+SELECT doc_id, length(own) AS n_chars, sha256(left(own, length(own) - length(own) // 4) || left(next, length(own) // 4)) AS edited_sha256 FROM n""",
+    "llm_packed_whole": "SELECT doc_id, true AS whole FROM documents",
     "op2_chat_formatting": f"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
