@@ -60,6 +60,90 @@ def test_nulls_repeats_and_nothing(spark):
     assert N.near_duplicates(rows.limit(0)).isEmpty()
 
 
+def by_rows(rows, rule):
+    """Component (smallest id) of every row, rows that share an id being documents of their own."""
+    found = {k: v[1] for k, v in brute([(k, t) for k, (_, t) in enumerate(rows)], rule).items()}
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[found[k]] = min(i, least.get(found[k], i))
+    return sorted((i, t or "", least[found[k]]) for k, (i, t) in enumerate(rows))
+
+
+def test_texts_that_share_an_id(spark):
+    texts = group(4)
+    r = random.Random(6)
+    rows = [(r.choice([1, 5, 5, k + 10]), t) for k, t in enumerate(texts)] + [(1, texts[0]), (5, texts[0] + " more"), (5, "unlike any")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    rule = N.Rule(3, 85)
+    got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in N.near_duplicates(frame, rule).collect())
+    assert got == sorted((i, len(sets(t, 3)), c) for i, t, c in by_rows(rows, rule))
+    # One row of each component stays, and every row without words.
+    kept = [(x.doc_id, x.text or "") for x in N.one_of_each(frame.withColumns({"id": F.lit(0), "row": F.lit("x")}), rule).collect()]
+    full = [(k, t) for k, (i, t) in enumerate(rows)]
+    roots = {k: v[1] for k, v in brute(full, rule).items()}
+    want = {}
+    for k, (i, t) in enumerate(rows):
+        if sets(t, 3):
+            want[roots[k]] = min(i, want.get(roots[k], i))
+    assert sorted(i for i, t in kept if sets(t, 3)) == sorted(want.values())
+    assert sum(not sets(t, 3) for _, t in kept) == sum(not sets(t, 3) for _, t in rows)
+
+
+def test_one_of_equal_rows(spark):
+    rows = [(1, "a b c")] * 3 + [(None, "a b c")] * 2 + [(2, "")] * 2 + [(3, None)] + [(4, "a  b c")]
+    kept = N.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "a b c")] * 2 + [(1, "a b c"), (2, ""), (2, ""), (3, "")]
+    assert N.one_of_each(kept.limit(0)).isEmpty()
+
+
+def test_clusters_of_very_many_blocks(spark, monkeypatch):
+    """Two families that share buckets but no link, and loose texts between them."""
+    monkeypatch.setattr(N, "BLOCK_SETS", 4)
+    monkeypatch.setattr(N, "MANY", 3)
+    r = random.Random(11)
+    rule = N.Rule(3, 85)
+    base = [f"w{k}" for k in range(200)]
+    other = base[:170] + [f"v{k}" for k in range(30)]
+    texts = []
+    for k in range(140):
+        words = list(r.choice([base, base, other, other[:185] + base[185:]]))
+        for _ in range(r.choice([0, 1, 2, 3, 5])):
+            words[r.randrange(len(words))] = f"x{r.randrange(10**6)}"
+        texts.append((k, " ".join(words)))
+    called = []
+    plain = N._open_buckets
+    monkeypatch.setattr(N, "_open_buckets", lambda *a: called.append(1) or plain(*a))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in N.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), rule).collect()}
+    assert called and got == brute(texts, rule)
+
+
+def test_very_long_texts(spark):
+    words = [f"w{k}" for k in range(400_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:390_000])), (3, " ".join(words[:200_000]))]
+    got = {x.doc_id: x.component_id for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_hot_nodes(spark, monkeypatch):
+    from tessera.llm import graph
+
+    monkeypatch.setattr(graph, "HOT", 5)
+    r = random.Random(8)
+    edges = [(50, k) for k in range(100, 160)] + [(k, 99) for k in range(30, 50)] + [(r.randrange(200, 300), r.randrange(200, 300)) for _ in range(60)]
+    got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {x: x for e in edges for x in e}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    assert got == {k: root(k) for k in parent if any(k in e and e[0] != e[1] for e in edges)}
+
+
 def test_registers_merge_and_estimate():
     r = np.random.default_rng(3)
     for share in (0.5, 0.8, 0.95):
