@@ -95,11 +95,12 @@ def _ranged(rows: DataFrame, *order: str) -> DataFrame:
 def _neighbours(suffixes: DataFrame) -> DataFrame:
     """Matches (id, tag, byte, width, like) of neighbours of equal context, and suffixes (id, tag, place; no width) to be extended by words.
 
-    The latter are the first ones of each context whose lead stands in others too. What the task before or after
+    Every suffix is marked as a match or not; those to be extended are told besides.
+    They are the first ones of each context whose lead stands in others too. What the task before or after
     holds isn't seen, so a task's first row and last context always are among them.
     """
     order = ["lead", "context", "id", "tag", "place"]
-    names, types = "id tag place byte width like", [_WIDE, _NARROW, _NARROW, _NARROW, _NARROW, _WIDE]
+    names, types = "marked id tag place byte width like", [pa.bool_(), _WIDE, _NARROW, _NARROW, _NARROW, _NARROW, _WIDE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = held = None  # the last row; the first row of its context and whether its lead is known to stand in others
@@ -112,8 +113,7 @@ def _neighbours(suffixes: DataFrame) -> DataFrame:
             same_lead = now[0][1:] == now[0][:-1]
             same = same_lead & (now[1][1:] == now[1][:-1])
             repeat = same & ((now[2][1:] != now[2][:-1]) | (now[3][1:] != now[3][:-1]) | (now[4][1:] != now[4][:-1]))
-            at = np.flatnonzero(repeat) + 1
-            yield _batch([now[2][at], now[3][at], now[4][at], now[5][at], now[6][at], now[2][at - 1]], names, types)
+            yield _batch([repeat, *(c[1:] for c in now[2:7]), now[2][:-1]], names, types)
             at = np.flatnonzero(~same) + 1
             heads, known = [c[at] for c in now], same_lead[at - 1]
             if held is None:
@@ -128,10 +128,11 @@ def _neighbours(suffixes: DataFrame) -> DataFrame:
 
     def extend(rows: list[np.ndarray]) -> pa.RecordBatch:
         none = pa.nulls(len(rows[0]))
-        return _batch([rows[2], rows[3], rows[4], none, none, none], names, types)
+        return _batch([np.ones(len(rows[0]), bool), rows[2], rows[3], rows[4], none, none, none], names, types)
 
     sorted_ = _ranged(suffixes, *order).select(*order, "byte", "width")
-    return sorted_.mapInArrow(run, "id bigint, tag int, place int, byte int, width int, like bigint")
+    told = sorted_.mapInArrow(run, "marked boolean, id bigint, tag int, place int, byte int, width int, like bigint")
+    return told.where("marked").drop("marked")
 
 
 def _runs(documents: DataFrame, places: DataFrame, key: str, text: str, least: int, lead: int) -> DataFrame:
